@@ -27,4 +27,7 @@ def is_correct(pred="PRED_TAG", gold="GOLD_TAG") -> Column:
 
 
 def round_half_even(value, digits=3) -> Column:
-    return F.bround(value, digits)
+    """Scale, round to the nearest even integer, scale back: how array libraries round floats."""
+    shift = F.lit(float(10 ** digits))
+    value = F.col(value) if isinstance(value, str) else value
+    return F.rint(value * shift) / shift

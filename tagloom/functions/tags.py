@@ -40,8 +40,15 @@ UNIV_CODES = {
 STTS_DEFAULT = frozenset(STTS_TO_UNIV) - {"PROAV"} | {"PAV"}
 
 
+def _literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
+
+
 def literal_map(mapping) -> Column:
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    """A constant map; one expression string instead of a call per entry."""
+    return F.expr(f"map({', '.join(_literal(x) for pair in mapping.items() for x in pair)})")
 
 
 def _col(c) -> Column:

@@ -6,7 +6,7 @@ from math import comb, factorial, prod
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +37,6 @@ def featureset(
 def bounds(rows: DataFrame, vec="vec") -> DataFrame:
     """(dim, low, high) per dimension, from one aggregate without exploding the vectors."""
     stats = rows.select(Summarizer.metrics("min", "max").summary(array_to_vector(as_doubles(vec))).alias("s"))
-    from pyspark.ml.functions import vector_to_array
-
     pair = F.arrays_zip(vector_to_array("s.min").alias("low"), vector_to_array("s.max").alias("high"))
     return stats.select(F.posexplode(pair).alias("dim", "b")).select("dim", "b.low", "b.high")
 

@@ -1,18 +1,20 @@
 """Sentence taggers: applying any callable, and two trainable baselines."""
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import FeatureHasher
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.functions.tags import decode_class, encode_class, universal_or_null
+from tagloom.functions.tags import decode_class, encode_class, lookup, universal_or_null
 from tagloom.operators.joins import salted_join
 from tagloom.schemas import CORP, FORM, SENT_ID, STTS, TOKENS, TOKN_ID, UNIV
+from tagloom.staging import stage
 
 
 def tag_sentences(
@@ -127,17 +129,26 @@ def context_pipeline(n_features=1 << 16, smoothing=0.1) -> Pipeline:
     return Pipeline(stages=[hasher, bayes])
 
 
-def train_context_tagger(features: DataFrame, tag=UNIV, **options):
-    """Naive Bayes over hashed features; equal rows are counted and become weights."""
-    rows = features.groupBy(*CONTEXT_FEATURES, tag).agg(F.count(F.lit(1)).cast("double").alias("w"))
-    return context_pipeline(**options).fit(rows.withColumn("label", encode_class(tag).cast("double")))
+@dataclass
+class ContextTagger:
+    model: PipelineModel
+    classes: list  # position in the classifier -> class code
 
+    def tag(self, features: DataFrame) -> DataFrame:
+        scored = self.model.transform(features)
+        code = lookup(dict(enumerate(self.classes)), F.col("prediction").cast("int"))
+        return scored.withColumn(f"PRED_{UNIV}", decode_class(code)).drop(
+            "features", "rawPrediction", "probability", "prediction"
+        )
 
-def apply_context_tagger(model, features: DataFrame) -> DataFrame:
-    scored = model.transform(features)
-    return scored.withColumn(f"PRED_{UNIV}", decode_class("prediction")).drop(
-        "features", "rawPrediction", "probability", "prediction"
-    )
+
+def train_context_tagger(features: DataFrame, tag=UNIV, **options) -> ContextTagger:
+    """Naive Bayes over hashed features; equal rows are counted and become weights."""
+    rows = features.groupBy(*CONTEXT_FEATURES, tag).agg(F.count(F.lit(1)).cast("double").alias("w"))
+    rows = stage(rows.withColumn("code", encode_class(tag)), "context")
+    classes = [r[0] for r in rows.select("code").distinct().orderBy("code").collect()]
+    position = lookup({c: float(i) for i, c in enumerate(classes)}, "code")
+    return ContextTagger(context_pipeline(**options).fit(rows.withColumn("label", position)), classes)
 
 
 # --- hold-out split -------------------------------------------------------------------------
@@ -158,12 +169,12 @@ def holdout_split(sents: DataFrame, fraction=0.1, seed=0, key=(CORP, SENT_ID)) -
     counts = marked.groupBy(F.left("_h", F.lit(_BUCKET)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     histogram = sorted((r["b"], r["n"]) for r in counts.collect())
     wanted = int(sum(n for _, n in histogram) * fraction)
+    if wanted == 0:
+        return sents.withColumn("IS_TEST", F.lit(False))
     for bucket, n in histogram:
         if wanted <= n:
             break
         wanted -= n
-    if wanted == 0:
-        return sents.withColumn("IS_TEST", F.lit(False) if not histogram else order < histogram[0][0])
     inside = marked.where(F.left("_h", F.lit(_BUCKET)) == bucket)
     cut = inside.orderBy("_h").limit(wanted).agg(F.max("_h")).first()[0]
     return sents.withColumn("IS_TEST", order <= cut)

@@ -214,10 +214,12 @@ FROM (SELECT FORM, n, n / (0.001 * (SELECT sum(n) FROM vocab)) AS x FROM vocab)"
 _sql("negative_distribution", """
 SELECT FORM, n, round(pow(n, 0.75) / (SELECT sum(pow(n, 0.75)) FROM vocab), 9) AS p FROM vocab""", _VOCAB)
 _sql("context_pair_counts", """
-SELECT a.FORM AS CENTER, b.FORM AS CONTEXT, count(*) AS n
+SELECT CENTER, CAST(sum(n) AS BIGINT) AS n, count(*) AS contexts, max(n) AS most,
+       min(CONTEXT) AS first_context, max(CONTEXT) AS last_context
+FROM (SELECT a.FORM AS CENTER, b.FORM AS CONTEXT, count(*) AS n
 FROM (SELECT *, unnest([-5, -4, -3, -2, -1, 1, 2, 3, 4, 5]) AS step FROM tok) a
 JOIN tok b ON a.CORP = b.CORP AND a.D = b.D AND a.E = b.E AND a.LINE = b.LINE AND b.TOKN_ID = a.TOKN_ID + a.step
-GROUP BY 1, 2""")
+GROUP BY 1, 2) GROUP BY 1""")
 
 # --- vectors and features
 _EMB = """
@@ -312,3 +314,64 @@ _sql("plot_series", """
 SELECT concat(CASE embedding_model WHEN 'O' THEN 'open' ELSE embedding_model END, ' | train-size: ', train_size) AS series,
        count(*) AS n, max(train_time) AS max_x, max(f1_weighted) AS max_y
 FROM runs WHERE embedding_model IN ('O', 'F') AND train_size IN (0, 2, 4) GROUP BY 1""", _RUNS)
+
+# --- files
+_NUMBERED_ROWS = _NUMBERED + """,
+placed AS (SELECT *, row_number() OVER (PARTITION BY CORP ORDER BY D, E, LINE, TOKN_ID) AS ROW_ID FROM numbered)"""
+_sql("raw_corpus_preprocessed", """
+SELECT 'TIGER' AS CORP, SENT_ID, TOKN_ID, FORM, LEMM, STTS, UNIV, ROW_ID FROM placed WHERE CORP = 'A'""",
+     _GOLD + _NUMBERED_ROWS % "gold")
+_HDT = _LINES + """,
+hdt AS (SELECT *, CASE WHEN RAW_STTS = 'NNE' THEN 'NE' WHEN RAW_STTS = 'PPOSSAT' THEN 'PPOSAT'
+                       WHEN RAW_STTS = 'VAIZU' THEN 'VVIZU' WHEN RAW_STTS = 'PIDAT' THEN 'PIAT'
+                       ELSE RAW_STTS END AS STTS,
+               sum(CASE WHEN TOKN_ID = 1 THEN 1 ELSE 0 END)
+                 OVER (ORDER BY CORP, D, E, LINE, TOKN_ID ROWS UNBOUNDED PRECEDING) AS sid FROM tok)"""
+_sql("multi_file_corpus", """
+SELECT CAST(sid AS BIGINT) AS SENT_ID, count(*) AS n, min(FORM) AS least, max(FORM) AS greatest, max(STTS) AS last_tag
+FROM hdt GROUP BY 1""", _HDT)
+_sql("raw_scan", """
+SELECT TOKN_ID, substr(RAW_STTS, 1, 2) AS REDU, STTS, '_' AS FEAT, count(*) AS n FROM hdt WHERE CORP = 'B'
+GROUP BY ALL""", _HDT)
+_sql("raw_minimal_scan", """
+SELECT FORM, RAW_LEMM AS LEMM, STTS, count(*) AS n FROM hdt WHERE CORP = 'B' GROUP BY ALL""", _HDT)
+_sql("tagged_sentences", """
+SELECT SENT_ID, CAST(count(*) AS INTEGER) AS n, string_agg(concat(FORM, '/', RAW_STTS), ' ' ORDER BY TOKN_ID) AS tagged
+FROM numbered WHERE CORP = 'A' GROUP BY 1""", _LINES + _NUMBERED % "tok")
+_sql("preprocessed_tsv", """
+SELECT CORP, SENT_ID, TOKN_ID, FORM, LEMM, STTS, UNIV FROM numbered WHERE CORP = 'A'""", _GOLD + _NUMBERED % "gold")
+_sql("preprocessed_parquet", """
+SELECT CORP, FORM, LEMM, STTS, UNIV, count(*) AS n FROM gold WHERE CORP = 'B' GROUP BY ALL""", _GOLD)
+_sql("annotation_tsv", """
+SELECT CORP, SENT_ID, TOKN_ID, FORM,
+       CASE RAW_STTS WHEN 'NNE' THEN 'NE' WHEN 'PPOSSAT' THEN 'PPOSAT' WHEN 'VAIZU' THEN 'VVIZU'
+            ELSE RAW_STTS END AS STTS, utag AS UNIV
+FROM numbered JOIN lmap ON RAW_STTS = tag WHERE CORP = 'A'""", _LENIENT + _NUMBERED % "tok")
+_sql("model_annotation_tsv", """
+SELECT CORP, SENT_ID, TOKN_ID, FORM, UNIV FROM numbered WHERE CORP = 'A'""", _GOLD + _NUMBERED % "gold")
+_sql("class_metrics_tsv", f"""
+SELECT class, row_kind, CAST(count AS VARCHAR) AS count, CAST(tp AS VARCHAR) AS tp, CAST(fp AS VARCHAR) AS fp,
+       CAST(fn AS VARCHAR) AS fn, printf('%.3f', precision) AS precision, printf('%.3f', recall) AS recall,
+       printf('%.3f', f1) AS f1
+FROM ({ORACLE['class_metrics'].replace('round(', 'identity_(')})""".replace("identity_(p, 6)", "p")
+     .replace("identity_(r, 6)", "r").replace("identity_(f, 6)", "f")
+     .replace("identity_(", "round("), None)
+_sql("score_records", f"""
+SELECT 'lexicon' AS model, CORP AS corpus, tagset, test_size, accuracy, precision, recall, f1_weighted
+FROM ({ORACLE['evaluation_grid']}) WHERE tagger = 'lexicon' AND CORP = 'B'""", None)
+
+# --- learning: the learnt numbers differ by design, what every run must give does not
+_FACTS = "SELECT DISTINCT FORM, true AS complete, true AS finite FROM tok WHERE CORP = 'A'"
+for _name in ("skipgram_vectors", "skipgram_vectors_ml", "cbow_vectors", "factorised_vectors"):
+    _sql(_name, _FACTS)
+_sql("vector_grid", """
+SELECT arch, CAST(dim AS INTEGER) AS dim, lowercase, count(*) AS forms, count(*) AS distinct_forms,
+       CAST(dim AS INTEGER) AS shortest
+FROM (SELECT DISTINCT lower(FORM) AS f, true AS lowercase FROM tok WHERE CORP = 'A'
+      UNION ALL SELECT DISTINCT FORM, false FROM tok WHERE CORP = 'A'),
+     (VALUES ('sg'), ('cb')) a(arch), (VALUES (12), (25), (50), (100)) d(dim) GROUP BY arch, dim, lowercase""")
+_sql("vector_table_lookup", "SELECT FORM, CAST(len(vec) AS INTEGER) AS dim FROM emb", _EMB)
+for _name in ("svm_linear", "svm_rbf", "svm_poly"):
+    _sql(_name, "SELECT FORM, true AS known_class FROM emb", _EMB)
+for _name in ("svm_annotation", "context_tagger"):
+    _sql(_name, "SELECT CORP, D, count(*) AS n, count(*) AS tagged FROM tok WHERE CORP = 'B' GROUP BY 1, 2")

@@ -1,5 +1,7 @@
 """Registered queries: every operator over the given tables, whole tables and whole texts."""
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -7,12 +9,19 @@ from tagloom.functions import tags as tg
 from tagloom.functions.scores import round_half_even
 from tagloom.functions.vectors import as_doubles
 from tagloom.learn import features as ft
-from tagloom.learn import taggers
+from tagloom.learn import svm, taggers, word2vec
 from tagloom.operators import corpus as co
 from tagloom.operators import joins, leaderboard as lb, ordering as od, scoring as sc, tagset as ts
 from tagloom.plans import testbed as tb
 from tagloom.plans import workflows as wf
-from tagloom.schemas import CORP, FORM, LEMM, REDU, STTS, TOKENS, TOKN_ID, UNIV
+from tagloom.schemas import (
+    ANNOTATED, CORP, FORM, LEMM, MODEL_ANNOTATED, RAW_COLUMNS, REDU, SENT_ID, STTS, TOKENS, TOKN_ID, UNIV,
+)
+from tagloom.sinks import records as out_records
+from tagloom.sinks import tables as out
+from tagloom.sources import conll
+from tagloom.sources import tables as src
+from tagloom.staging import staged_path
 
 QUERIES = {}
 
@@ -281,7 +290,11 @@ def negative_distribution(spark, sf):
 
 @query
 def context_pair_counts(spark, sf):
-    return co.pair_counts(tb.sentences(spark, sf))
+    pairs = co.pair_counts(tb.sentences(spark, sf))
+    return pairs.groupBy("CENTER").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("contexts"), F.max("n").alias("most"),
+        F.min("CONTEXT").alias("first_context"), F.max("CONTEXT").alias("last_context"),
+    )
 
 
 @query
@@ -498,3 +511,213 @@ def plot_series(spark, sf):
     return points.groupBy("series").agg(
         F.count(F.lit(1)).alias("n"), F.max("x").alias("max_x"), F.max("y").alias("max_y")
     )
+
+
+# --- files ----------------------------------------------------------------------------------
+
+def _write_raw(spark, sf, layout, *corpora):
+    """The tokens as raw CoNLL files of one corpus; unused columns hold '_'."""
+    if layout == "TIGER":
+        number = F.concat(F.col("LINE").cast("string"), F.lit("_"), F.col(TOKN_ID).cast("string"))
+    else:
+        number = F.col(TOKN_ID).cast("string")
+    tokens = tb.tokens(spark, sf, *corpora).withColumns({
+        LEMM: F.col("RAW_LEMM"), STTS: F.col("RAW_STTS"), REDU: F.substring("RAW_STTS", 1, 2), "_number": number,
+        **{c: F.lit("_") for c in RAW_COLUMNS[layout] if c not in (TOKN_ID, FORM, LEMM, STTS, REDU)},
+    })
+    path = staged_path(spark, f"raw-{layout}")
+    columns = ["_number" if c == TOKN_ID else c for c in RAW_COLUMNS[layout]]
+    out.write_conll(tokens, path, columns, (CORP, *tb.SENTENCE))
+    return path
+
+
+@query
+def raw_corpus_preprocessed(spark, sf):
+    """Raw files -> canonical table with sentence ids."""
+    return conll.read_corpus(spark, "TIGER", _write_raw(spark, sf, "TIGER", "A"), with_rows=True)
+
+
+@query
+def multi_file_corpus(spark, sf):
+    """Two file sets in the given order are one corpus; sentence ids run on."""
+    paths = [_write_raw(spark, sf, "HDT", c) for c in ("A", "B")]
+    rows = conll.read_corpus(spark, "HDT", paths)
+    return rows.groupBy(SENT_ID).agg(
+        F.count(F.lit(1)).alias("n"), F.min(FORM).alias("least"), F.max(FORM).alias("greatest"),
+        F.max(STTS).alias("last_tag"),
+    )
+
+
+@query
+def raw_scan(spark, sf):
+    return _n(conll.read_raw(spark, "HDT", _write_raw(spark, sf, "HDT", "B")), TOKN_ID, REDU, STTS, "FEAT")
+
+
+@query
+def raw_minimal_scan(spark, sf):
+    return _n(conll.read_minimal(spark, "HDT", _write_raw(spark, sf, "HDT", "B")), FORM, LEMM, STTS)
+
+
+@query
+def tagged_sentences(spark, sf):
+    rows = conll.read_tagged_sentences(spark, "TIGER", _write_raw(spark, sf, "TIGER", "A"))
+    pairs = F.transform("TAGGED", lambda t: F.concat(t[FORM], F.lit("/"), t[STTS]))
+    return rows.select(SENT_ID, F.size("TAGGED").alias("n"), F.array_join(pairs, " ").alias("tagged"))
+
+
+def _numbered(spark, sf, corpus):
+    return od.sentence_ids(tb.gold(spark, sf, corpus), tb.KEY)
+
+
+@query
+def preprocessed_tsv(spark, sf):
+    """Canonical table -> quoted TSV -> canonical table."""
+    path = staged_path(spark, "preprocessed")
+    out.write_preprocessed(_numbered(spark, sf, "A").select(*src.CANONICAL), path, fmt="tsv")
+    return src.read_preprocessed(spark, path, fmt="tsv")
+
+
+@query
+def preprocessed_parquet(spark, sf):
+    """Canonical table -> parquet by corpus -> one corpus, read with partition pruning."""
+    path = staged_path(spark, "preprocessed")
+    out.write_preprocessed(od.sentence_ids(tb.gold(spark, sf), tb.KEY).select(*src.CANONICAL), path)
+    return _n(src.read_preprocessed(spark, path, corpus="B"), CORP, FORM, LEMM, STTS, UNIV)
+
+
+@query
+def annotation_tsv(spark, sf):
+    """Annotation with raw tags -> unquoted TSV -> annotation with fixed tags."""
+    path = staged_path(spark, "annotation")
+    rows = od.sentence_ids(tb.tokens(spark, sf, "A").withColumn(STTS, F.col("RAW_STTS")), tb.KEY)
+    rows = rows.withColumn(UNIV, tg.universal_or_null(STTS))
+    out.write_annotations(rows.select(*ANNOTATED), path, fmt="tsv")
+    return src.read_annotations(spark, path, "SPACY")
+
+
+@query
+def model_annotation_tsv(spark, sf):
+    path = staged_path(spark, "annotation")
+    out.write_annotations(_numbered(spark, sf, "A").select(*MODEL_ANNOTATED), path, fmt="tsv")
+    return src.read_model_annotations(spark, path)
+
+
+@query
+def class_metrics_tsv(spark, sf):
+    """Class metrics as written to disk: three decimals."""
+    path = staged_path(spark, "metrics")
+    out.write_class_metrics(wf.lexicon_class_metrics(tb.gold(spark, sf, "A"), tb.gold(spark, sf, "B")), path)
+    return spark.read.csv(path, sep="\t", header=True)
+
+
+@query
+def score_records(spark, sf):
+    """Summaries of two tagsets appended to one record file."""
+    path = staged_path(spark, "scores")
+    cells = wf.evaluation_cells(_lexicon_cells(spark, sf, (CORP,)), (CORP,))
+    summary = sc.score_summary(sc.class_counts(cells, by=(CORP, "tagset"), weight="n"), by=(CORP, "tagset"))
+    named = summary.withColumn("model", F.lit("lexicon")).withColumnRenamed(CORP, "corpus")
+    for tagset in (STTS, UNIV):
+        out_records.append_scores(named.where(F.col("tagset") == tagset), path)
+    return out_records.read_scores(spark, path)
+
+
+# --- learning -------------------------------------------------------------------------------
+
+QUICK = word2vec.Settings(dim=12, epochs=1)
+
+
+def _vector_facts(vectors, dim):
+    finite = F.forall(as_doubles("vec"), lambda x: ~F.isnan(x) & (F.abs(x) < 1e6))
+    return vectors.select(FORM, (F.size("vec") == dim).alias("complete"), finite.alias("finite"))
+
+
+@query
+def skipgram_vectors(spark, sf):
+    return _vector_facts(word2vec.train(tb.sentences(spark, sf, "A"), "sg", QUICK), 12)
+
+
+@query
+def skipgram_vectors_ml(spark, sf):
+    return _vector_facts(word2vec.train(tb.sentences(spark, sf, "A"), "sg", QUICK, engine="ml"), 12)
+
+
+@query
+def cbow_vectors(spark, sf):
+    return _vector_facts(word2vec.train(tb.sentences(spark, sf, "A"), "cb", QUICK), 12)
+
+
+@query
+def factorised_vectors(spark, sf):
+    return _vector_facts(word2vec.train(tb.sentences(spark, sf, "A"), "sg", QUICK, engine="factor"), 12)
+
+
+@query
+def vector_grid(spark, sf):
+    """All 16 combinations of architecture, case folding and dimensionality."""
+    root = staged_path(spark, "vectors")
+    word2vec.train_grid(tb.sentences(spark, sf, "A"), root, settings=replace(QUICK, epochs=1))
+    table = spark.read.schema(src.VECTORS).parquet(root)
+    return table.groupBy("arch", "dim", "lowercase").agg(
+        F.count(F.lit(1)).alias("forms"), F.countDistinct(FORM).alias("distinct_forms"),
+        F.min(F.size("vec")).alias("shortest"),
+    )
+
+
+@query
+def vector_table_lookup(spark, sf):
+    """Vectors written under their key and read back by it."""
+    root = staged_path(spark, "vectors")
+    out.write_vectors(_vectors(spark, sf), root, "sg", 64, False)
+    vec = src.read_vectors(spark, root, "sg", 64, False)
+    return vec.select(FORM, F.size("vec").alias("dim"))
+
+
+def _kernel_run(spark, sf, kernel, max_iter=5):
+    rows = _vectors(spark, sf).select(
+        FORM, F.col("label").cast("double").alias("label"), F.lit(1.0).alias("w"), as_doubles("vec").alias("vec")
+    )
+    settings = svm.SvmSettings(kernel, kernel=kernel, scale=True, max_iter=max_iter, components=64)
+    tagger = svm.train_rows(rows, settings)
+    return tagger.predict(rows.select(FORM, "vec")).select(FORM, F.col("code").between(0, 9).alias("known_class"))
+
+
+@query
+def svm_linear(spark, sf):
+    return _kernel_run(spark, sf, "linear")
+
+
+@query
+def svm_rbf(spark, sf):
+    return _kernel_run(spark, sf, "rbf")
+
+
+@query
+def svm_poly(spark, sf):
+    return _kernel_run(spark, sf, "poly")
+
+
+@query
+def svm_annotation(spark, sf):
+    """The main study: vectors from both corpora, RBF model from A, one class per token of B."""
+    sents = tb.sentences(spark, sf)
+    vectors = word2vec.train(sents, "cb", QUICK)
+    settings = svm.SvmSettings("study", kernel="rbf", scale=True, max_iter=5, components=64)
+    tagger = svm.train(tb.gold(spark, sf, "A"), vectors, settings, keys=tb.KEY)
+    tagged = svm.annotate(tagger, tb.tokens(spark, sf, "B").select(*tb.KEY, FORM), vectors, keys=tb.KEY)
+    return tagged.groupBy(CORP, "D").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(UNIV).isin(list(tg.UNIV_CODES))).alias("tagged")
+    )
+
+
+@query
+def context_tagger(spark, sf):
+    """Naive Bayes on context features: trained on A, applied to B."""
+    key = (CORP, *tb.SENTENCE)
+    gold = tb.gold(spark, sf, "A").select(*tb.KEY, UNIV)
+    train = taggers.context_features(tb.sentences(spark, sf, "A"), key).join(gold, tb.KEY)
+    model = taggers.train_context_tagger(train)
+    tagged = model.tag(taggers.context_features(tb.sentences(spark, sf, "B"), key))
+    return tagged.groupBy(CORP, "D").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("PRED_UNIV").isin(list(tg.UNIV_CODES))).alias("tagged")
+    )

@@ -36,33 +36,32 @@ def sentences(spark, sf_dir, *corpora) -> DataFrame:
         lines = spread(texts, "D", "E").select(
             CORP, "D", "E", F.posexplode(F.split("text", "\n")).alias("LINE", "_text")
         )
+        # Any character that is no white space belongs to a token, so the cheap test on the text
+        # decides; a test on the token array would tokenise twice.
         found = F.regexp_extract_all("_text", F.lit(TOKEN_PATTERN), F.lit(0))
-        return lines.select(
+        return lines.where(F.col("_text").rlike(r"\S")).select(
             CORP, "D", "E", (F.col("LINE") + 1).alias("LINE"), found.alias(TOKENS)
-        ).where(F.size(TOKENS) > 0)
+        )
 
     return union_corpora(*[one(c) for c in corpora or _SOURCES])
 
 
-def _raw_tag():
-    n, lc = F.length(FORM), F.lower(FORM)
-    form = F.col(FORM)
-    return (
-        F.when(form.isin(".", "!", "?", ":", ";"), "$.")
-        .when(form == ",", "$,")
-        .when(form.rlike(r"^[^\p{L}\p{M}0-9]$"), "$(")
-        .when(form.rlike("^[0-9]+$"), "CARD")
-        .when(lc.isin("the", "der", "die", "das", "le", "la", "les", "el", "los", "un"), "ART")
-        .when(lc.isin("and", "und", "et", "y", "or"), "KON")
-        .when(lc.isin("of", "in", "de", "von", "to", "for", "con"), "APPR")
-        .when((F.col(TOKN_ID) + n) % 11 == 0, "NNE")
-        .when(form.rlike(r"^\p{Lu}"), "NN")
-        .when(n % 7 == 0, "VAIZU")
-        .when(n % 5 == 0, "PPOSSAT")
-        .when(n % 3 == 0, "PIDAT")
-        .when(n % 4 == 0, "ADJA")
-        .otherwise("VVFIN")
-    )
+# The surrogate tags; the first match wins.
+_RAW_TAG = r"""
+CASE WHEN FORM IN ('.', '!', '?', ':', ';') THEN '$.'
+     WHEN FORM = ',' THEN '$,'
+     WHEN FORM RLIKE r'^[^\p{L}\p{M}0-9]$' THEN '$('
+     WHEN FORM RLIKE '^[0-9]+$' THEN 'CARD'
+     WHEN lower(FORM) IN ('the', 'der', 'die', 'das', 'le', 'la', 'les', 'el', 'los', 'un') THEN 'ART'
+     WHEN lower(FORM) IN ('and', 'und', 'et', 'y', 'or') THEN 'KON'
+     WHEN lower(FORM) IN ('of', 'in', 'de', 'von', 'to', 'for', 'con') THEN 'APPR'
+     WHEN (TOKN_ID + length(FORM)) % 11 = 0 THEN 'NNE'
+     WHEN FORM RLIKE r'^\p{Lu}' THEN 'NN'
+     WHEN length(FORM) % 7 = 0 THEN 'VAIZU'
+     WHEN length(FORM) % 5 = 0 THEN 'PPOSSAT'
+     WHEN length(FORM) % 3 = 0 THEN 'PIDAT'
+     WHEN length(FORM) % 4 = 0 THEN 'ADJA'
+     ELSE 'VVFIN' END"""
 
 
 def tokens(spark, sf_dir, *corpora) -> DataFrame:
@@ -75,7 +74,7 @@ def tokens(spark, sf_dir, *corpora) -> DataFrame:
     return placed.withColumns({
         "RAW_ID": F.concat(F.col("D").cast("string"), F.lit("_"), F.col(TOKN_ID).cast("string")),
         "RAW_LEMM": lemma,
-        "RAW_STTS": _raw_tag(),
+        "RAW_STTS": F.expr(_RAW_TAG),
     })
 
 
