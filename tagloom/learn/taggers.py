@@ -59,14 +59,18 @@ def most_frequent(counts: DataFrame, key, tag=STTS, n="n") -> DataFrame:
     return counts.groupBy(key).agg(best.alias(tag))
 
 
-def train_lexicon(tokens: DataFrame, tag=STTS) -> DataFrame:
-    """FORM -> most frequent tag. Tokens collapse to (form, tag) counts first."""
-    return most_frequent(tokens.groupBy(FORM, tag).agg(F.count(F.lit(1)).alias("n")), FORM, tag)
+def form_tag_counts(tokens: DataFrame, by=(), tag=STTS) -> DataFrame:
+    """(by, FORM, tag, n): all that form-based taggers and their scores need of a corpus."""
+    return tokens.groupBy(*by, FORM, tag).agg(F.count(F.lit(1)).alias("n"))
 
 
-def train_suffixes(tokens: DataFrame, longest=3, tag=STTS) -> DataFrame:
+def train_lexicon(counts: DataFrame, tag=STTS) -> DataFrame:
+    """FORM -> most frequent tag, from form/tag counts."""
+    return most_frequent(counts, FORM, tag)
+
+
+def train_suffixes(counts: DataFrame, longest=3, tag=STTS) -> DataFrame:
     """SUFFIX -> most frequent tag, for suffixes of 1..longest characters."""
-    counts = tokens.groupBy(FORM, tag).agg(F.count(F.lit(1)).alias("n"))
     lengths = F.sequence(F.lit(1), F.least(F.lit(longest), F.length(FORM)))
     suffixes = F.transform(lengths, lambda k: F.right(F.col(FORM), k))
     by_suffix = counts.select(F.explode(suffixes).alias("SUFFIX"), tag, "n")

@@ -21,7 +21,7 @@ from tagloom.sinks import records as out_records
 from tagloom.sinks import tables as out
 from tagloom.sources import conll
 from tagloom.sources import tables as src
-from tagloom.staging import staged_path
+from tagloom.staging import stage, staged_path
 
 QUERIES = {}
 
@@ -49,8 +49,12 @@ def class_metrics(spark, sf):
     return _six(wf.lexicon_class_metrics(tb.gold(spark, sf, "A"), tb.gold(spark, sf, "B")), *RATIOS)
 
 
-def _lexicon_cells(spark, sf, keep=()):
-    return wf.lexicon_predictions(tb.gold(spark, sf, "A"), tb.gold(spark, sf, "B"), keep)
+def _counts(spark, sf, corpus, by=()):
+    return taggers.form_tag_counts(tb.gold(spark, sf, corpus), by)
+
+
+def _lexicon_cells(spark, sf, by=()):
+    return wf.lexicon_predictions(_counts(spark, sf, "A"), _counts(spark, sf, "B", by))
 
 
 @query
@@ -67,9 +71,10 @@ def score_summary(spark, sf):
 
 @query
 def evaluation_grid(spark, sf):
-    train, test = tb.gold(spark, sf, "A"), tb.gold(spark, sf)
+    counts = stage(taggers.form_tag_counts(tb.gold(spark, sf), (CORP,)), "counts")
+    train = counts.where(F.col(CORP) == "A")
     runs = [
-        wf.lexicon_predictions(train, test, (CORP,), back_off).withColumn("tagger", F.lit(name))
+        wf.lexicon_predictions(train, counts, back_off).withColumn("tagger", F.lit(name))
         for name, back_off in (("lexicon", False), ("suffix", True))
     ]
     return wf.evaluation_grid(co.union_corpora(*runs))
@@ -77,8 +82,8 @@ def evaluation_grid(spark, sf):
 
 def _annotation(spark, sf):
     """An annotation table of corpus B as another tool would have written it."""
-    forms = co.vocabulary(tb.gold(spark, sf, "B"))
-    tagged = taggers.tag_forms(forms, taggers.train_lexicon(tb.gold(spark, sf, "A")))
+    forms = stage(co.vocabulary(tb.tokens(spark, sf, "B")), "forms")
+    tagged = taggers.tag_forms(forms, taggers.train_lexicon(_counts(spark, sf, "A")))
     tokens = tb.tokens(spark, sf, "B").select(*tb.KEY, FORM)
     hot = joins.hot_keys(forms)
     return taggers.tag_tokens(tokens, tagged, tb.KEY, hot).withColumnRenamed("PRED_STTS", STTS)
@@ -394,12 +399,12 @@ def sentence_tagger_by_workers(spark, sf):
 
 @query
 def lexicon(spark, sf):
-    return taggers.train_lexicon(tb.gold(spark, sf, "A"))
+    return taggers.train_lexicon(_counts(spark, sf, "A"))
 
 
 @query
 def suffix_lexicon(spark, sf):
-    return taggers.train_suffixes(tb.gold(spark, sf, "A"))
+    return taggers.train_suffixes(_counts(spark, sf, "A"))
 
 
 @query
@@ -415,7 +420,8 @@ def holdout_accuracy(spark, sf):
     key = (CORP, *tb.SENTENCE)
     split = taggers.holdout_split(tb.sentences(spark, sf, "A").drop(TOKENS), 0.1, seed=0, key=key)
     rows = tb.gold(spark, sf, "A").join(split, list(key))
-    cells = wf.lexicon_predictions(rows.where("not IS_TEST"), rows.where("IS_TEST"))
+    counts = stage(taggers.form_tag_counts(rows, ("IS_TEST",)), "counts")
+    cells = wf.lexicon_predictions(counts.where("not IS_TEST"), counts.where("IS_TEST"))
     ok = F.sum(F.when(F.col("GOLD_STTS") == F.col("PRED_STTS"), F.col("n")).otherwise(0))
     return cells.agg(F.sum("n").alias("n"), F.round(F.try_divide(ok, F.sum("n")), 6).alias("accuracy"))
 

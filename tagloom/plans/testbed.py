@@ -71,11 +71,14 @@ def tokens(spark, sf_dir, *corpora) -> DataFrame:
     )
     placed = exploded.withColumn(TOKN_ID, F.col("_i") + 1).drop("_i")
     lemma = F.when(F.length(FORM) % 4 == 0, "--").otherwise(F.lower(FORM))
-    return placed.withColumns({
-        "RAW_ID": F.concat(F.col("D").cast("string"), F.lit("_"), F.col(TOKN_ID).cast("string")),
-        "RAW_LEMM": lemma,
-        "RAW_STTS": F.expr(_RAW_TAG),
-    })
+    return placed.select(
+        "*",
+        F.concat(F.col("D").cast("string"), F.lit("_"), F.col(TOKN_ID).cast("string")).alias("RAW_ID"),
+        lemma.alias("RAW_LEMM"),
+        # A generator's output is computed once; a plain column would be repeated in every
+        # filter that is pushed below.
+        F.explode(F.array(F.expr(_RAW_TAG))).alias("RAW_STTS"),
+    )
 
 
 def fixed_tag():

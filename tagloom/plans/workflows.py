@@ -1,30 +1,29 @@
 """The stages of a tagging study as single calls."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tagloom.functions.tags import universal_or_null
-from tagloom.learn.taggers import tag_forms, train_lexicon, train_suffixes
+from tagloom.learn.taggers import form_tag_counts, tag_forms, train_lexicon, train_suffixes
 from tagloom.operators.scoring import aligned_or_raise, by_tagset, class_counts, class_metrics, score_summary
-from tagloom.schemas import FORM, GOLD_TAG, PRED_TAG, STTS, TOKEN_KEY, UNIV
+from tagloom.schemas import GOLD_TAG, PRED_TAG, STTS, TOKEN_KEY, UNIV
 
 
-def lexicon_predictions(train: DataFrame, test: DataFrame, keep=(), suffix_back_off=False) -> DataFrame:
-    """(keep, FORM, GOLD_STTS, PRED_STTS, n): the test corpus in counted (form, tag) cells.
+def lexicon_predictions(train: DataFrame, test: DataFrame, suffix_back_off=False) -> DataFrame:
+    """Predicted next to gold tag for every counted (form, tag) cell of the test corpus.
 
-    The prediction depends on the form alone, so equal tokens are tagged once. Tokens never
-    meet the lexicon: only distinct forms are joined, and no form is hot any more.
+    Both inputs are form/tag counts: the prediction depends on the form alone, so equal tokens
+    are tagged once, only distinct forms meet the lexicon and no form is hot any more.
     """
-    cells = test.groupBy(*keep, FORM, F.col(STTS).alias(f"GOLD_{STTS}")).agg(F.count(F.lit(1)).alias("n"))
+    cells = test.withColumnRenamed(STTS, f"GOLD_{STTS}")
     suffixes = train_suffixes(train) if suffix_back_off else None
     return tag_forms(cells, train_lexicon(train), suffixes=suffixes)
 
 
-def lexicon_class_metrics(train: DataFrame, test: DataFrame, keep=()) -> DataFrame:
+def lexicon_class_metrics(train: DataFrame, test: DataFrame, by=()) -> DataFrame:
     """Train the lexicon tagger, tag the test corpus, score it per class."""
-    cells = lexicon_predictions(train, test, keep)
-    counts = class_counts(cells, by=keep, gold=f"GOLD_{STTS}", pred=f"PRED_{STTS}", weight="n")
-    return class_metrics(counts, by=keep)
+    cells = lexicon_predictions(form_tag_counts(train), form_tag_counts(test, by))
+    counts = class_counts(cells, by=by, gold=f"GOLD_{STTS}", pred=f"PRED_{STTS}", weight="n")
+    return class_metrics(counts, by=by)
 
 
 def evaluation_cells(predictions: DataFrame, keep=()) -> DataFrame:
