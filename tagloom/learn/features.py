@@ -16,6 +16,7 @@ from tagloom.functions.vectors import as_doubles, literal_vector, min_max_scaled
 from tagloom.operators.joins import attach_vectors
 from tagloom.operators.ordering import head
 from tagloom.schemas import FORM, TOKEN_KEY, UNIV
+from tagloom.staging import ship_package
 
 
 def weighted_rows(tokens: DataFrame, tag=UNIV) -> DataFrame:
@@ -128,6 +129,7 @@ def mapped(rows: DataFrame, kernel_map: KernelMap, vec="vec", out="features") ->
     """Add the ML vector column `out`; dense matrix products run on Arrow batches."""
     if kernel_map.kernel == "linear":
         return rows.withColumn(out, array_to_vector(vec))
+    ship_package(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(kernel_map)
 
     @F.pandas_udf("array<double>")

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tagloom.functions.tags import decode_class, encode_class, lookup, universal_or_null
 from tagloom.operators.joins import salted_join
 from tagloom.schemas import CORP, FORM, SENT_ID, STTS, TOKENS, TOKN_ID, UNIV
-from tagloom.staging import stage
+from tagloom.staging import ship_package, stage
 
 
 def tag_sentences(
@@ -24,6 +24,7 @@ def tag_sentences(
 
     `workers` > 0 sets the number of partitions; 0 keeps those of the input.
     """
+    ship_package(sents.sparkSession)
     key = list(key)
     sents = sents.select(*key, TOKENS)
     if workers > 0:

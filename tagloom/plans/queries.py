@@ -82,9 +82,9 @@ def evaluation_grid(spark, sf):
 
 def _annotation(spark, sf):
     """An annotation table of corpus B as another tool would have written it."""
-    forms = stage(co.vocabulary(tb.tokens(spark, sf, "B")), "forms")
+    forms = stage(co.vocabulary(tb.placed(spark, sf, "B")), "forms")
     tagged = taggers.tag_forms(forms, taggers.train_lexicon(_counts(spark, sf, "A")))
-    tokens = tb.tokens(spark, sf, "B").select(*tb.KEY, FORM)
+    tokens = tb.placed(spark, sf, "B")
     hot = joins.hot_keys(forms)
     return taggers.tag_tokens(tokens, tagged, tb.KEY, hot).withColumnRenamed("PRED_STTS", STTS)
 
@@ -158,13 +158,12 @@ def lemma_fallback(spark, sf):
 @query
 def canonical_corpus(spark, sf):
     """The preprocessed table with sentence ids, one row per token of both corpora."""
-    rows = od.sentence_ids(tb.gold(spark, sf), tb.KEY)
-    return rows.select(CORP, "SENT_ID", TOKN_ID, FORM, LEMM, STTS, UNIV)
+    return tb.numbered_gold(spark, sf).select(*src.CANONICAL)
 
 
 @query
 def case_folding(spark, sf):
-    return _n(tb.tokens(spark, sf).select(CORP, tg.folded(FORM).alias(FORM)), CORP, FORM)
+    return _n(tb.placed(spark, sf).select(CORP, tg.folded(FORM).alias(FORM)), CORP, FORM)
 
 
 @query
@@ -175,13 +174,13 @@ def class_codes(spark, sf):
 
 @query
 def placeholder_filter(spark, sf):
-    return ts.tagset(tb.tokens(spark, sf), FORM, by=(CORP,))
+    return ts.tagset(tb.placed(spark, sf), FORM, by=(CORP,))
 
 
 # --- order ----------------------------------------------------------------------------------
 
 def _ordered(spark, sf):
-    return od.sentence_ids(tb.tokens(spark, sf).select(*tb.KEY), tb.KEY)
+    return od.sentence_ids(tb.placed(spark, sf).select(*tb.KEY), tb.KEY)
 
 
 @query
@@ -198,7 +197,7 @@ def sentence_numbers(spark, sf):
 
 @query
 def row_numbers(spark, sf):
-    rows = od.number_rows(tb.tokens(spark, sf).select(*tb.KEY), tb.KEY)
+    rows = od.number_rows(tb.placed(spark, sf).select(*tb.KEY), tb.KEY)
     return rows.groupBy(CORP, *tb.SENTENCE).agg(
         F.min("ROW_ID").alias("first_row"), F.max("ROW_ID").alias("last_row"), F.count(F.lit(1)).alias("n")
     )
@@ -206,12 +205,12 @@ def row_numbers(spark, sf):
 
 @query
 def head_slice(spark, sf):
-    return od.head(tb.tokens(spark, sf).select(*tb.KEY, FORM), tb.KEY, 1000)
+    return od.head(tb.placed(spark, sf), tb.KEY, 1000)
 
 
 @query
 def tail_preview(spark, sf):
-    return od.preview(tb.tokens(spark, sf).select(*tb.KEY, FORM), tb.KEY, -1000)
+    return od.preview(tb.placed(spark, sf), tb.KEY, -1000)
 
 
 @query
@@ -263,14 +262,14 @@ def annotation_profile(spark, sf):
 
 @query
 def sentence_assembly(spark, sf):
-    tokens = tb.tokens(spark, sf).select(*tb.KEY, FORM)
+    tokens = tb.placed(spark, sf)
     sents = co.sentences(tokens, lowercase=True, key=(CORP, *tb.SENTENCE))
     return sents.select(CORP, *tb.SENTENCE, F.array_join(TOKENS, " ").alias("sentence"), F.size(TOKENS).alias("n"))
 
 
 @query
 def corpus_union(spark, sf):
-    both = co.union_corpora(tb.tokens(spark, sf, "A"), tb.tokens(spark, sf, "B"))
+    both = co.union_corpora(tb.placed(spark, sf, "A"), tb.placed(spark, sf, "B"))
     return _n(both, CORP)
 
 
@@ -304,7 +303,7 @@ def context_pair_counts(spark, sf):
 
 @query
 def subsampled_tokens(spark, sf):
-    tokens = tb.tokens(spark, sf).select(*tb.KEY, FORM)
+    tokens = tb.placed(spark, sf)
     return _n(co.subsample(tokens, _vocabulary(spark, sf), key=tb.KEY), FORM)
 
 
@@ -571,15 +570,11 @@ def tagged_sentences(spark, sf):
     return rows.select(SENT_ID, F.size("TAGGED").alias("n"), F.array_join(pairs, " ").alias("tagged"))
 
 
-def _numbered(spark, sf, corpus):
-    return od.sentence_ids(tb.gold(spark, sf, corpus), tb.KEY)
-
-
 @query
 def preprocessed_tsv(spark, sf):
     """Canonical table -> quoted TSV -> canonical table."""
     path = staged_path(spark, "preprocessed")
-    out.write_preprocessed(_numbered(spark, sf, "A").select(*src.CANONICAL), path, fmt="tsv")
+    out.write_preprocessed(tb.numbered_gold(spark, sf, "A").select(*src.CANONICAL), path, fmt="tsv")
     return src.read_preprocessed(spark, path, fmt="tsv")
 
 
@@ -587,7 +582,7 @@ def preprocessed_tsv(spark, sf):
 def preprocessed_parquet(spark, sf):
     """Canonical table -> parquet by corpus -> one corpus, read with partition pruning."""
     path = staged_path(spark, "preprocessed")
-    out.write_preprocessed(od.sentence_ids(tb.gold(spark, sf), tb.KEY).select(*src.CANONICAL), path)
+    out.write_preprocessed(tb.numbered_gold(spark, sf).select(*src.CANONICAL), path)
     return _n(src.read_preprocessed(spark, path, corpus="B"), CORP, FORM, LEMM, STTS, UNIV)
 
 
@@ -595,7 +590,7 @@ def preprocessed_parquet(spark, sf):
 def annotation_tsv(spark, sf):
     """Annotation with raw tags -> unquoted TSV -> annotation with fixed tags."""
     path = staged_path(spark, "annotation")
-    rows = od.sentence_ids(tb.tokens(spark, sf, "A").withColumn(STTS, F.col("RAW_STTS")), tb.KEY)
+    rows = tb.annotated(od.sentence_ids(tb.placed(spark, sf, "A"), tb.KEY)).withColumn(STTS, F.col("RAW_STTS"))
     rows = rows.withColumn(UNIV, tg.universal_or_null(STTS))
     out.write_annotations(rows.select(*ANNOTATED), path, fmt="tsv")
     return src.read_annotations(spark, path, "SPACY")
@@ -604,7 +599,7 @@ def annotation_tsv(spark, sf):
 @query
 def model_annotation_tsv(spark, sf):
     path = staged_path(spark, "annotation")
-    out.write_annotations(_numbered(spark, sf, "A").select(*MODEL_ANNOTATED), path, fmt="tsv")
+    out.write_annotations(tb.numbered_gold(spark, sf, "A").select(*MODEL_ANNOTATED), path, fmt="tsv")
     return src.read_model_annotations(spark, path)
 
 
@@ -710,7 +705,7 @@ def svm_annotation(spark, sf):
     vectors = word2vec.train(sents, "cb", QUICK)
     settings = svm.SvmSettings("study", kernel="rbf", scale=True, max_iter=5, components=64)
     tagger = svm.train(tb.gold(spark, sf, "A"), vectors, settings, keys=tb.KEY)
-    tagged = svm.annotate(tagger, tb.tokens(spark, sf, "B").select(*tb.KEY, FORM), vectors, keys=tb.KEY)
+    tagged = svm.annotate(tagger, tb.placed(spark, sf, "B"), vectors, keys=tb.KEY)
     return tagged.groupBy(CORP, "D").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col(UNIV).isin(list(tg.UNIV_CODES))).alias("tagged")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.tags import fix_tag_by_corpus, lemma_or_form, universal
 from tagloom.operators.corpus import union_corpora
+from tagloom.operators.ordering import sentence_ids
 from tagloom.schemas import CORP, FORM, LEMM, REDU, STTS, TOKENS, TOKN_ID, UNIV
 from tagloom.staging import spread
 
@@ -64,14 +65,18 @@ CASE WHEN FORM IN ('.', '!', '?', ':', ';') THEN '$.'
      ELSE 'VVFIN' END"""
 
 
-def tokens(spark, sf_dir, *corpora) -> DataFrame:
-    """Raw tokens: sentence columns, TOKN_ID, RAW_ID, FORM, RAW_LEMM, RAW_STTS."""
+def placed(spark, sf_dir, *corpora) -> DataFrame:
+    """Sentence columns, TOKN_ID and FORM."""
     exploded = sentences(spark, sf_dir, *corpora).select(
         CORP, *SENTENCE, F.posexplode(TOKENS).alias("_i", FORM)
     )
-    placed = exploded.withColumn(TOKN_ID, F.col("_i") + 1).drop("_i")
+    return exploded.withColumn(TOKN_ID, F.col("_i") + 1).drop("_i")
+
+
+def annotated(rows: DataFrame) -> DataFrame:
+    """Add RAW_ID, RAW_LEMM and RAW_STTS to placed tokens."""
     lemma = F.when(F.length(FORM) % 4 == 0, "--").otherwise(F.lower(FORM))
-    return placed.select(
+    return rows.select(
         "*",
         F.concat(F.col("D").cast("string"), F.lit("_"), F.col(TOKN_ID).cast("string")).alias("RAW_ID"),
         lemma.alias("RAW_LEMM"),
@@ -81,19 +86,34 @@ def tokens(spark, sf_dir, *corpora) -> DataFrame:
     )
 
 
+def tokens(spark, sf_dir, *corpora) -> DataFrame:
+    """Raw tokens: sentence columns, TOKN_ID, RAW_ID, FORM, RAW_LEMM, RAW_STTS."""
+    return annotated(placed(spark, sf_dir, *corpora))
+
+
 def fixed_tag():
     """Corpus A plays the training corpus, B the test corpus with its own extra tag fix."""
     role = F.when(F.col(CORP) == "B", "HDT").otherwise("TIGER")
     return fix_tag_by_corpus("RAW_STTS", role)
 
 
-def gold(spark, sf_dir, *corpora) -> DataFrame:
-    """Normalised tokens: STTS, UNIV, LEMM and REDU next to the sentence columns."""
-    raw = tokens(spark, sf_dir, *corpora).withColumn(STTS, fixed_tag())
-    return raw.select(
-        CORP, *SENTENCE, TOKN_ID, FORM,
+def normalised(raw: DataFrame) -> DataFrame:
+    """Replace the raw columns by LEMM, STTS, UNIV and REDU."""
+    kept = [c for c in raw.columns if not c.startswith("RAW_")]
+    return raw.withColumn(STTS, fixed_tag()).select(
+        *kept,
         lemma_or_form("RAW_LEMM").alias(LEMM),
         STTS,
         universal(STTS).alias(UNIV),
         F.substring(STTS, 1, 2).alias(REDU),
     )
+
+
+def gold(spark, sf_dir, *corpora) -> DataFrame:
+    """Normalised tokens: STTS, UNIV, LEMM and REDU next to the sentence columns."""
+    return normalised(tokens(spark, sf_dir, *corpora))
+
+
+def numbered_gold(spark, sf_dir, *corpora) -> DataFrame:
+    """`gold` with SENT_ID; rows are ordered while they are narrow, and normalised afterwards."""
+    return normalised(annotated(sentence_ids(placed(spark, sf_dir, *corpora), KEY)))

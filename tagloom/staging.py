@@ -1,6 +1,7 @@
 """Session helpers: shared staging folder, written intermediate tables, scan spreading."""
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -8,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local_dirs = {}
+_shipped = set()
 
 
 def build_session(app="tagloom", cores="8", memory="12g", **conf):
@@ -63,3 +65,15 @@ def spread(df: DataFrame, *keys) -> DataFrame:
     if files >= slots or df.rdd.getNumPartitions() >= slots:
         return df
     return df.repartition(slots, *keys)
+
+
+def ship_package(spark):
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tagloom-code-"), "tagloom")
+    root, name = os.path.split(home)
+    context.addPyFile(shutil.make_archive(target, "zip", root_dir=root, base_dir=name))
+    _shipped.add(context.applicationId)

@@ -1,0 +1,190 @@
+import json
+import os
+import re
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tagloom.operators import leaderboard as lb
+from tagloom.sinks import records as sink
+from tagloom.sources import records as src
+
+
+@pytest.fixture(scope="module")
+def runs(spark):
+    rng = np.random.default_rng(4)
+    n = 400
+    pdf = pd.DataFrame({
+        "model": [f"m{i:03d}" for i in range(n)],
+        "precision": rng.random(n).round(3), "recall": rng.random(n).round(3),
+        "f1_weighted": rng.choice([0.1, 0.5, 0.9], n),  # many ties
+        "train_time": rng.random(n) * 1000, "test_time": rng.random(n) * 1000,
+        "train_size": rng.choice([0, 100000, 400000], n), "embedding_size": rng.choice([12, 25, 50, 100, 300], n),
+        "embedding_model": rng.choice(["sg", "cb"], n), "scale": rng.random(n) < 0.5,
+        "max_iter": rng.choice([-1, 1000], n),
+    })
+    return pdf, spark.createDataFrame(pdf)
+
+
+def test_best_rows_first_wins(runs):
+    pdf, df = runs
+    got = {r["embedding_size"]: r["model"] for r in lb.best_rows(df, ["embedding_size"]).collect()}
+    want = pdf.sort_values(["f1_weighted", "model"], ascending=[False, True]).groupby("embedding_size")["model"].first()
+    assert got == want.to_dict()
+
+
+def test_group_stats_leave_key_columns_out(runs):
+    pdf, df = runs
+    got = lb.group_stats(df, ["embedding_model", "precision"]).columns
+    assert "max_precision" not in got and "max_recall" in got
+    stats = {r["scale"]: r for r in lb.group_stats(df, ["scale"]).collect()}
+    for key, g in pdf.groupby("scale"):
+        assert stats[key]["max_train_time"] == g["train_time"].max()
+        assert stats[key]["mean_recall"] == pytest.approx(g["recall"].mean())
+        assert stats[key]["min_test_time"] == g["test_time"].min()
+
+
+def test_sweep_equals_separate_scans(runs):
+    pdf, df = runs
+    keys = ["embedding_size", "embedding_model", "scale"]
+    rows = lb.sweep(df, keys=keys).collect()
+    got = {(r["key"], r["value"], r["subset"]): r for r in rows}
+    assert len(got) == len(rows)
+    seen = 0
+    for subset, part in [(None, pdf)] + list(pdf.groupby("train_size")):
+        for key in keys + (["train_size"] if subset is None else []):
+            for value, g in part.groupby(key):
+                name = str(value).lower() if key == "scale" else str(value)
+                row = got[key, name, None if subset is None else str(subset)]
+                best = g.sort_values(["f1_weighted", "model"], ascending=[False, True])["model"].iloc[0]
+                assert row["best_model"] == best and row["runs"] == len(g)
+                assert row["max_f1_weighted"] == g["f1_weighted"].max()
+                assert row["mean_test_time"] == pytest.approx(g["test_time"].mean())
+                assert row["min_train_time"] == g["train_time"].min()
+                seen += 1
+    assert seen == len(got)
+
+
+def test_sentinel_filter_and_order(runs):
+    pdf, df = runs
+    sizes = lb.resolve_full_size(df, "train_size", 888237).select("train_size").distinct().collect()
+    assert {r[0] for r in sizes} == {888237, 100000, 400000}
+    assert lb.unlimited(df).count() == (pdf["max_iter"] == -1).sum()
+    scores = [r["f1_weighted"] for r in lb.leaderboard(df).collect()]
+    assert scores == sorted(scores, reverse=True)
+
+
+def test_plot_series(runs):
+    pdf, df = runs
+    got = {r["series"]: r["n"] for r in lb.plot_series(df, ["embedding_size"]).groupBy("series").agg(F.count("*").alias("n")).collect()}
+    want = pdf[pdf["embedding_size"] != 300].groupby("embedding_size").size()
+    assert got == {str(k): n for k, n in want.items()}
+    two = lb.plot_series(df, ["embedding_model", "train_size"]).select("series").distinct().collect()
+    assert {r[0] for r in two} == {f"{m} | train-size: {s}" for m in ("CBOW", "Skip-gram") for s in (100000, 400000)}
+
+
+def test_records_and_incomplete_models(spark, tmp_path):
+    def model(name, config=True, metrics=True, scored=True):
+        home = tmp_path / name
+        home.mkdir()
+        if config:
+            (home / f"{name}.config").write_text(json.dumps(
+                {"model": name, "architecture": "sg", "dimensionality": 25, "lowercase": False, "scale": True,
+                 "C": 1.0, "max_iter": -1, "shrinking": False, "kernel": "rbf", "train_size": 0, "embedding": None}, indent=2))
+        if metrics:
+            run = {"test_size": 0, "test_time": 2.5}
+            if scored:
+                run["UNIV"] = {"eval_size": 10, "accuracy": 0.9, "precision": 0.8, "recall": 0.7, "f1_weighted": 0.75}
+            (home / f"{name}.metrics").write_text(json.dumps({"model": name, "train_size": 0, "train_time": 1.5, "HDT": run}, indent=2))
+
+    model("good")
+    model("unscored", scored=False)
+    model("no_metrics", metrics=False)
+    model("no_config", config=False)
+    rows, rejects = lb.join_records(src.read_configs(spark, str(tmp_path)), src.read_metrics(spark, str(tmp_path)))
+    row = rows.collect()
+    assert [r["model"] for r in row] == ["good"] and row[0]["f1_weighted"] == 0.75 and row[0]["test_time"] == 2.5
+    assert len(rows.columns) == 16
+    assert {r[0] for r in rejects.collect()} == {"unscored", "no_metrics", "no_config"}
+
+
+def test_experiment_log_latest_wins(spark, tmp_path):
+    from datetime import datetime
+
+    log = str(tmp_path / "log")
+    at = lambda minute: datetime(2024, 1, 1, 0, minute)
+    score = dict(eval_size=10, precision=0.5, recall=0.5, f1_weighted=0.5)
+    sink.log_run(spark, log, model="m", train_size=0, train_time=9.0, logged_at=at(0))
+    sink.log_run(spark, log, model="m", corpus="HDT", test_size=0, test_time=3.0, logged_at=at(1))
+    sink.log_run(spark, log, model="m", corpus="HDT", tagset="UNIV", accuracy=0.1, logged_at=at(2), **score)
+    sink.log_run(spark, log, model="m", corpus="HDT", tagset="UNIV", accuracy=0.2, logged_at=at(3), **score)
+    rows = sink.latest_records(sink.read_log(spark, log)).collect()
+    assert len(rows) == 1 and rows[0]["accuracy"] == 0.2 and rows[0]["train_time"] == 9.0 and rows[0]["test_time"] == 3.0
+    sink.log_run(spark, log, model="m", corpus="HDT", test_size=5, test_time=4.0, logged_at=at(4))
+    assert sink.latest_records(sink.read_log(spark, log)).isEmpty()
+
+
+def test_model_id():
+    from datetime import datetime
+
+    now = datetime(2024, 5, 6, 7, 8, 9, 12)
+    assert sink.model_id("sg", 25, True, now=now) == "2024-05-06_07-08-09-000012_sg_25_lc"
+    assert sink.model_id("sg", 25, True, name="mine") == "mine"
+
+
+GOLDEN = os.environ.get("TAGLOOM_GOLDEN_RESULTS", "")
+
+
+@pytest.mark.skipif(not os.path.exists(GOLDEN), reason="set TAGLOOM_GOLDEN_RESULTS to a published results file")
+def test_published_leaderboard(spark):
+    """Recompute the published aggregates from the published rows."""
+    tables, heading, table = [], [], None
+    for line in open(GOLDEN, encoding="utf-8"):
+        if line.startswith("|"):
+            cells = [c.strip() for c in line.strip().strip("|").split("|")]
+            if table is None:
+                table = (heading, cells, [])
+                tables.append(table)
+            elif not set(line) <= set("|:- \n"):
+                table[2].append(cells)
+        elif line.strip():
+            if table is not None:
+                heading, table = [], None
+            heading = heading + [line.strip()]
+    names, rows = tables[0][1][1:], [r[1:] for r in tables[0][2]]
+    pdf = pd.DataFrame(rows, columns=names).rename(columns={"model": "model"})
+    numeric = [c for c in names if c not in ("embedding_model", "lowercase", "scale", "model")]
+    pdf[numeric] = pdf[numeric].astype(float)
+    runs = spark.createDataFrame(pdf)
+    scores = ("f1_micro", "f1_macro", "f1_weighted", "train_time", "test_time")
+    args = dict(score="f1_micro", scores=scores, times=("train_time", "test_time"))
+    keys = ["embedding_size", "embedding_model", "lowercase", "scale", "C"]
+    swept = lb.sweep(lb.unlimited(runs), keys=keys, **args).collect()
+    capped = lb.sweep(runs, keys=[], subset="max_iter", **args).collect()
+    got = {(r["key"], r["value"], r["subset"]): r for r in [*swept, *capped]}
+
+    def norm(value):
+        return str(float(value)) if re.fullmatch(r"-?[0-9.]+", value) else value
+
+    checked, data, key = 0, None, None
+    for heading, columns, body in tables[1:]:
+        text = " ".join(heading)
+        if "on data set:" in text:
+            sizes = re.search(r"training: size: (\d+)", text)
+            data = None if not sizes else norm(sizes.group(1))
+        key = columns[0]
+        for cells in body:
+            row = got[key, norm(cells[0]), data]
+            shown = dict(zip(columns, cells))
+            kind = "best" if "row of maximum" in text else "max" if "maximum of all" in text else "mean" if "mean of" in text else "min"
+            if kind == "best":
+                # Published scores are rounded, so several models can share the best one.
+                assert row["max_f1_micro"] == float(shown["f1_micro"])
+            else:
+                for c in scores:
+                    if c in shown and f"{kind}_{c}" in row:
+                        assert row[f"{kind}_{c}"] == pytest.approx(float(shown[c]), abs=6e-4 if kind == "mean" else 1e-9)
+            checked += 1
+    assert checked > 200
