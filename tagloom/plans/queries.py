@@ -284,12 +284,12 @@ def vocabulary(spark, sf):
 
 @query
 def keep_probabilities(spark, sf):
-    return _six(co.keep_probabilities(_vocabulary(spark, sf)), "keep")
+    return _six(co.keep_probabilities(stage(_vocabulary(spark, sf))), "keep")
 
 
 @query
 def negative_distribution(spark, sf):
-    return co.negative_distribution(_vocabulary(spark, sf)).withColumn("p", F.round("p", 9))
+    return co.negative_distribution(stage(_vocabulary(spark, sf))).withColumn("p", F.round("p", 9))
 
 
 @query
@@ -304,7 +304,7 @@ def context_pair_counts(spark, sf):
 @query
 def subsampled_tokens(spark, sf):
     tokens = tb.placed(spark, sf)
-    return _n(co.subsample(tokens, _vocabulary(spark, sf), key=tb.KEY), FORM)
+    return _n(co.subsample(tokens, stage(_vocabulary(spark, sf)), key=tb.KEY), FORM)
 
 
 # --- vectors and features -------------------------------------------------------------------

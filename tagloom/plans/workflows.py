@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame
 
 from tagloom.functions.tags import universal_or_null
 from tagloom.learn.taggers import form_tag_counts, tag_forms, train_lexicon, train_suffixes
-from tagloom.operators.scoring import aligned_or_raise, by_tagset, class_counts, class_metrics, score_summary
+from tagloom.operators.ordering import head
+from tagloom.operators.scoring import aligned_cells, by_tagset, class_counts, class_metrics, score_summary
 from tagloom.schemas import GOLD_TAG, PRED_TAG, STTS, TOKEN_KEY, UNIV
 
 
@@ -41,8 +42,12 @@ def evaluation_grid(predictions: DataFrame, keep=("CORP", "tagger")) -> DataFram
     return score_summary(counts, by=(*keep, "tagset"))
 
 
-def evaluate(pred: DataFrame, gold: DataFrame, tagset, key=TOKEN_KEY):
-    """(class metrics, summary) of an annotation table against its gold table."""
-    rows = aligned_or_raise(pred, gold, tagset, key)
-    counts = class_counts(rows, gold=GOLD_TAG, pred=PRED_TAG)
+def evaluate(pred: DataFrame, gold: DataFrame, tagset, key=TOKEN_KEY, cut_gold=False):
+    """(class metrics, summary) of an annotation table against its gold table.
+
+    `cut_gold` compares with as many leading gold tokens as there are predictions.
+    """
+    if cut_gold:
+        gold = head(gold, list(key), pred.count())
+    counts = class_counts(aligned_cells(pred, gold, tagset, key), gold=GOLD_TAG, pred=PRED_TAG, weight="n")
     return class_metrics(counts), score_summary(counts)

@@ -61,10 +61,7 @@ def stage(df: DataFrame, name="stage") -> DataFrame:
 def spread(df: DataFrame, *keys) -> DataFrame:
     """Repartition a scan that has fewer splits than the cluster has slots; else leave it alone."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df.inputFiles())
-    if files >= slots or df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots, *keys)
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, *keys)
 
 
 def ship_package(spark):

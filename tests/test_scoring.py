@@ -82,6 +82,9 @@ def test_evaluate_and_alignment_errors(spark):
     assert {r["class"] for r in metrics.collect()} == {"NN", "ADV", "sum", "weighted avg"}
     with pytest.raises(scoring.Misaligned, match="'missing_pred': 1"):
         workflows.evaluate(pred.where("TOKN_ID < 2"), gold, "STTS")
+    cut = workflows.evaluate(pred.where("SENT_ID = 1"), gold, "STTS", cut_gold=True)[1].first()
+    assert cut["test_size"] == 2 and cut["accuracy"] == 1.0
+    assert scoring.aligned_or_raise(pred, gold, "UNIV").count() == 3
     with pytest.raises(scoring.Misaligned, match="'text_mismatch': 3"):
         workflows.evaluate(pred.withColumn("FORM", F.lit("q")), gold, "STTS")
 
