@@ -1,8 +1,7 @@
 """Training rows: weighted (form, class) pairs with scaled vectors, and kernel feature maps."""
 
-from dataclasses import dataclass, field
 from itertools import combinations_with_replacement
-from math import comb, factorial, prod
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.tags import encode_class, folded
 from tagloom.functions.vectors import as_doubles, literal_vector, min_max_scaled, rbf_kernel
+from tagloom.learn.kernels import KernelMap
 from tagloom.operators.joins import attach_vectors
 from tagloom.operators.ordering import head
 from tagloom.schemas import FORM, TOKEN_KEY, UNIV
@@ -73,38 +73,6 @@ def kernel_block(rows: DataFrame, landmarks, gamma, id_col, vec="vec") -> DataFr
 EXACT_TERMS = 2048
 
 
-@dataclass
-class KernelMap:
-    """Feature map whose dot products give the kernel.
-
-    linear: the vectors themselves. rbf: Nyström map on landmarks, exact on the landmarks.
-    poly (degree 3): all cubic terms while there are few, else the Nyström map.
-    """
-
-    kernel: str
-    gamma: float
-    landmarks: np.ndarray | None = None
-    whitening: np.ndarray | None = None
-    exponents: list = field(default_factory=list)
-
-    def exact(self, x, y):
-        if self.kernel == "rbf":
-            sq = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T
-            return np.exp(-self.gamma * np.maximum(sq, 0))
-        if self.kernel == "poly":
-            return (self.gamma * x @ y.T) ** 3
-        return x @ y.T
-
-    def apply(self, x):
-        if self.kernel == "linear":
-            return x
-        if self.exponents:
-            index = np.array(self.exponents)
-            repeats = [6 / prod(factorial(t.count(v)) for v in set(t)) for t in self.exponents]
-            return x[:, index].prod(axis=2) * np.sqrt(repeats) * self.gamma ** 1.5
-        return self.exact(x, self.landmarks) @ self.whitening
-
-
 def fit_kernel_map(rows: DataFrame, kernel, dim, components=128, gamma=None, vec="vec") -> KernelMap:
     """Choose the map; the landmarks are `components` distinct forms in hash order."""
     gamma = gamma or 1.0 / dim

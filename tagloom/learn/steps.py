@@ -1,0 +1,42 @@
+"""Array arithmetic of one training step; imported by the Python workers, so numpy only."""
+
+import numpy as np
+
+REPEATS = 8
+
+
+def windows(ids, breaks, window):
+    """(token x 2*window) context positions, -1 outside the sentence."""
+    steps = np.array([d for d in range(-window, window + 1) if d])
+    at = np.arange(len(ids))[:, None] + steps[None, :]
+    inside = (at >= 0) & (at < len(ids))
+    at = np.where(inside, at, 0)
+    same = breaks[at] == breaks[:, None]
+    return np.where(inside & same, ids[at], -1)
+
+
+def _add_rows(matrix, rows, values):
+    """matrix[rows] += values with repeated rows; flat indices take numpy's fast path.
+
+    The gradients of one step are taken at the same point. A word that occurs more than `REPEATS`
+    times in it moves by `REPEATS` times its mean gradient, as the plain sum would overshoot.
+    """
+    dim = matrix.shape[1]
+    _, at, counts = np.unique(rows, return_inverse=True, return_counts=True)
+    if counts.max(initial=0) > REPEATS:
+        values = values * np.minimum(1, REPEATS / counts)[at][:, None]
+    flat = (rows[:, None] * dim + np.arange(dim)).ravel()
+    np.add.at(matrix.reshape(-1), flat, values.astype(np.float32).ravel())
+
+
+def step(w_in, w_out, inputs, targets, labels, rate):
+    """One negative-sampling step: inputs (m x k, -1 = none) predict targets (m x (1+negative))."""
+    used = inputs >= 0
+    hidden = np.where(used[..., None], w_in[inputs], np.float32(0)).sum(1) / used.sum(1)[:, None]
+    rows = w_out[targets]
+    score = 1 / (1 + np.exp(-np.clip(np.einsum("mtd,md->mt", rows, hidden), -30, 30)))
+    gradient = np.nan_to_num((labels - score) * rate)
+    into = np.einsum("mt,mtd->md", gradient, rows)
+    _add_rows(w_out, targets.ravel(), (gradient[..., None] * hidden[:, None, :]).reshape(-1, hidden.shape[1]))
+    m, k = np.nonzero(used)
+    _add_rows(w_in, inputs[m, k], into[m])

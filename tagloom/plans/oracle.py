@@ -228,7 +228,9 @@ ev AS (SELECT CAST(user_id AS VARCHAR) AS FORM, event_type AS tag FROM events)""
 _sql("vector_lookup", """
 SELECT FORM, n, CAST(len(vec) AS INTEGER) AS dim, round(list_sum(vec), 6) AS vec_sum
 FROM (SELECT FORM, count(*) AS n FROM ev GROUP BY 1) JOIN emb USING (FORM)""", _EMB)
-_sql("forms_without_vector", "SELECT DISTINCT FORM FROM ev ANTI JOIN emb USING (FORM)", _EMB)
+_sql("forms_without_vector", """
+SELECT DISTINCT CAST(event_id AS VARCHAR) AS FORM FROM events
+WHERE CAST(event_id AS VARCHAR) NOT IN (SELECT FORM FROM emb)""", _EMB)
 _sql("featureset", """
 SELECT FORM, tag, w, round(vec[1], 6) AS first_value
 FROM (SELECT FORM, tag, count(*) AS w FROM ev GROUP BY 1, 2) JOIN emb USING (FORM)""", _EMB)

@@ -330,7 +330,8 @@ def vector_lookup(spark, sf):
 
 @query
 def forms_without_vector(spark, sf):
-    return joins.unknown_forms(_event_tokens(spark, sf), _vectors(spark, sf))
+    ids = tb.table(spark, sf, "events").select(F.col("event_id").cast("string").alias(FORM))
+    return joins.unknown_forms(ids, _vectors(spark, sf))
 
 
 @query
@@ -371,19 +372,25 @@ def kernel_block(spark, sf):
 
 # --- taggers --------------------------------------------------------------------------------
 
-def shape_tagger(forms):
-    """A small deterministic sentence tagger: position and first character decide."""
-    last = len(forms) - 1
-    return [
-        "CARD" if "0" <= f[0] <= "9" else "NE" if "A" <= f[0] <= "Z" and i > 0 else "QQ" if i == last else "NN"
-        for i, f in enumerate(forms)
-    ]
+def shape_tagger():
+    """A small deterministic sentence tagger: position and first character decide.
+
+    A closure travels to the workers by value, so they need not import this module.
+    """
+    def tag(forms):
+        last = len(forms) - 1
+        return [
+            "CARD" if "0" <= f[0] <= "9" else "NE" if "A" <= f[0] <= "Z" and i > 0 else "QQ" if i == last else "NN"
+            for i, f in enumerate(forms)
+        ]
+
+    return tag
 
 
 @query
 def sentence_tagger(spark, sf):
     tagged = taggers.tag_sentences(
-        tb.sentences(spark, sf), shape_tagger, workers=0, key=(CORP, *tb.SENTENCE)
+        tb.sentences(spark, sf), shape_tagger(), workers=0, key=(CORP, *tb.SENTENCE)
     )
     return _n(tagged, CORP, TOKN_ID, STTS, UNIV)
 
@@ -391,7 +398,7 @@ def sentence_tagger(spark, sf):
 @query
 def sentence_tagger_by_workers(spark, sf):
     tagged = taggers.tag_sentences(
-        tb.sentences(spark, sf), shape_tagger, workers=16, key=(CORP, *tb.SENTENCE)
+        tb.sentences(spark, sf), shape_tagger(), workers=16, key=(CORP, *tb.SENTENCE)
     )
     return _n(tagged, CORP, FORM, STTS)
 

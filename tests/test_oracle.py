@@ -22,7 +22,7 @@ def duck():
 def test_query(spark, duck, name):
     problem, rows, *_ = check(spark, duck, SF_DIR, name, entry.queries()[name], entry.oracle_sql().get(name))
     assert problem is None
-    assert rows > 0 or name == "forms_without_vector"
+    assert rows > 0
 
 
 def test_entry(spark):

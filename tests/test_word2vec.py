@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.learn import word2vec as wv
+from tagloom.learn.steps import windows
 from tagloom.operators import corpus as co
 
 TEXTS = [["a", "b", "a", "c"], ["b"], ["c", "c", "d", "a", "b", "e", "a"]]
@@ -47,7 +48,7 @@ def test_pairs(sents, window):
 def test_windows_match_pairs():
     ids = np.array([0, 1, 0, 2, 1, 2])
     sentence = np.array([0, 0, 0, 0, 1, 1])
-    around = wv._windows(ids, sentence, 2)
+    around = windows(ids, sentence, 2)
     assert [sorted(r[r >= 0].tolist()) for r in around] == [[0, 1], [0, 0, 2], [0, 1, 2], [0, 1], [2], [1]]
 
 
