@@ -1,11 +1,18 @@
 """The registered queries of the operators and their SQL."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from tagloom.llm import packing, token_count
+from tagloom.llm import packing, substring_dedup, token_count
 from tagloom.plans.testbed import table
 
 
+def op1_substring_dedup(spark, sf_dir):
+    """Words of repeated 13-word passages removed from every document."""
+    cleaned = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_token_count(spark, sf_dir):
     """Tokens of every document for a public 32k vocabulary."""
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -19,5 +26,5 @@ def op5_best_fit_packing(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_token_count, op5_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_token_count, op5_best_fit_packing)}
 ORACLE = {}
