@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagloom.llm import packing, substring_dedup, token_count
+from tagloom.llm import packing, simhash, substring_dedup, token_count
 from tagloom.plans.testbed import table
 
 
@@ -13,6 +13,11 @@ def op1_substring_dedup(spark, sf_dir):
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_simhash(spark, sf_dir):
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op3_token_count(spark, sf_dir):
     """Tokens of every document for a public 32k vocabulary."""
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -26,5 +31,5 @@ def op5_best_fit_packing(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_token_count, op5_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_token_count, op5_best_fit_packing)}
 ORACLE = {}
