@@ -3,9 +3,12 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagloom.llm import packing, simhash, substring_dedup, token_count
+from tagloom.llm import line_dedup, packing, simhash, substring_dedup, token_count, vector_search
 from tagloom.plans.testbed import table
 
+#: Pruning factor of the registered search; the tests measure its recall.
+RELAX = 1.1
+
 
 def op1_substring_dedup(spark, sf_dir):
     """Words of repeated 13-word passages removed from every document."""
@@ -31,5 +34,16 @@ def op5_best_fit_packing(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_token_count, op5_best_fit_packing)}
-ORACLE = {}
+def op7_line_dedup(spark, sf_dir):
+    """Lines of every document without repeated three-line windows."""
+    cleaned = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op10_nearest_neighbours(spark, sf_dir):
+    """The five nearest vectors of every fiftieth."""
+    return vector_search.nearest(table(spark, sf_dir, "embeddings"), relax=RELAX)
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_token_count, op5_best_fit_packing, op7_line_dedup, op10_nearest_neighbours)}
+ORACLE = {"op7_line_dedup": line_dedup.SQL}
