@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagloom.llm import line_dedup, packing, simhash, substring_dedup, token_count, vector_search
+from tagloom.llm import line_dedup, packing, quality, simhash, substring_dedup, token_count, vector_search
 from tagloom.plans.testbed import table
 
 #: Pruning factor of the registered search; the tests measure its recall.
@@ -40,10 +40,15 @@ def op7_line_dedup(spark, sf_dir):
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_quality_rules(spark, sf_dir):
+    """Base counts and the divergence verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
+
+
 def op10_nearest_neighbours(spark, sf_dir):
     """The five nearest vectors of every fiftieth."""
     return vector_search.nearest(table(spark, sf_dir, "embeddings"), relax=RELAX)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_token_count, op5_best_fit_packing, op7_line_dedup, op10_nearest_neighbours)}
-ORACLE = {"op7_line_dedup": line_dedup.SQL}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_token_count, op5_best_fit_packing, op7_line_dedup, op8_quality_rules, op10_nearest_neighbours)}
+ORACLE = {"op7_line_dedup": line_dedup.SQL, "op8_quality_rules": quality.sql()}
