@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagloom.llm import line_dedup, packing, quality, simhash, substring_dedup, token_count, vector_search
+from tagloom.llm import language_id, line_dedup, mixing, packing, quality, simhash, substring_dedup, token_count, vector_search
 from tagloom.plans.testbed import table
 
 #: Pruning factor of the registered search; the tests measure its recall.
@@ -34,6 +34,12 @@ def op5_best_fit_packing(spark, sf_dir):
     )
 
 
+def op6_mixing(spark, sf_dir):
+    """How often the mixture takes every document."""
+    mixed = mixing.with_copies(table(spark, sf_dir, "documents"), mixing.source_domain())
+    return mixed.select("doc_id", "domain", "n_tokens", "copies")
+
+
 def op7_line_dedup(spark, sf_dir):
     """Lines of every document without repeated three-line windows."""
     cleaned = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"))
@@ -45,10 +51,22 @@ def op8_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
 
+def op9_language_id(spark, sf_dir):
+    """Language of every document and whether it is certain enough to stay."""
+    found = language_id.identify(language_id.document_rows(table(spark, sf_dir, "documents")))
+    return found.select(F.col("id").alias("doc_id"), "lang", "confidence", "kept")
+
+
+def page_language(spark, sf_dir):
+    """Language of every web page, with its markup language, address suffix and host as evidence."""
+    found = language_id.identify(language_id.page_rows(table(spark, sf_dir, "pages")))
+    return found.select(F.col("id").alias("page_id"), "lang", "confidence", "kept")
+
+
 def op10_nearest_neighbours(spark, sf_dir):
     """The five nearest vectors of every fiftieth."""
     return vector_search.nearest(table(spark, sf_dir, "embeddings"), relax=RELAX)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_token_count, op5_best_fit_packing, op7_line_dedup, op8_quality_rules, op10_nearest_neighbours)}
-ORACLE = {"op7_line_dedup": line_dedup.SQL, "op8_quality_rules": quality.sql()}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_token_count, op5_best_fit_packing, op6_mixing, op7_line_dedup, op8_quality_rules, op9_language_id, page_language, op10_nearest_neighbours)}
+ORACLE = {"op6_mixing": mixing.sql(), "op7_line_dedup": line_dedup.SQL, "op8_quality_rules": quality.sql()}
