@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagloom.llm import language_id, line_dedup, mixing, packing, quality, simhash, substring_dedup, token_count, vector_search
+from tagloom.llm import language_id, line_dedup, mixing, packing, quality, simhash, substring_dedup, token_count, toxicity, vector_search
 from tagloom.plans.testbed import table
 
 #: Pruning factor of the registered search; the tests measure its recall.
@@ -26,6 +26,11 @@ def op3_token_count(spark, sf_dir):
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_toxicity(spark, sf_dir):
+    """Toxicity score of every document; the labels of a quarter stay unseen."""
+    return toxicity.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_best_fit_packing(spark, sf_dir):
     """Every document packed into sequences of 1024 tokens."""
     return packing.pack(
@@ -68,5 +73,5 @@ def op10_nearest_neighbours(spark, sf_dir):
     return vector_search.nearest(table(spark, sf_dir, "embeddings"), relax=RELAX)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_token_count, op5_best_fit_packing, op6_mixing, op7_line_dedup, op8_quality_rules, op9_language_id, page_language, op10_nearest_neighbours)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_token_count, op4_toxicity, op5_best_fit_packing, op6_mixing, op7_line_dedup, op8_quality_rules, op9_language_id, page_language, op10_nearest_neighbours)}
 ORACLE = {"op6_mixing": mixing.sql(), "op7_line_dedup": line_dedup.SQL, "op8_quality_rules": quality.sql()}
