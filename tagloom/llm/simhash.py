@@ -27,8 +27,8 @@ from tagloom.staging import ship_package, stage
 
 #: Fingerprints that a shard should get at most, visitors included.
 SHARD_ROWS = 20_000
-#: Levels of the sharding tree: four bits each.
-LEVELS = 16
+#: Levels of the sharding tree, four bits each: at least and at most.
+FIRST_LEVELS, LEVELS = 4, 16
 #: Pairs that are compared at once.
 BLOCK_PAIRS = 1 << 21
 
@@ -93,7 +93,7 @@ def fingerprints(docs: DataFrame, size=3) -> DataFrame:
 
 def shard_levels(n, radius, shard_rows=SHARD_ROWS):
     """Levels at which an average shard has at most `shard_rows` of n random fingerprints and their visits."""
-    for k in range(2, LEVELS):
+    for k in range(FIRST_LEVELS, LEVELS):
         # Four random bits split like 4.1 even parts.
         if n * len(_directions(k, radius)) / 4.1**k <= shard_rows:
             return k
