@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 #: Bytes of text that one vectorised step handles at once; a longer text is a step of its own.
 STEP_BYTES = 2 << 20
 #: Bytes of text behind one bucket of packed hashes.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 
 
 def steps(batches, column="text", most=STEP_BYTES):

@@ -1,0 +1,120 @@
+"""Trigrams, fusion and verdicts of language identification against plain Python."""
+
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tagloom.llm import language_id as li
+from tagloom.llm.queries import page_language
+
+LANGUAGES = ("en", "de", "fr", "es")
+
+
+def brute_slots(text):
+    data = [b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in (text or "").encode()]
+    padded = [32, *data, 32]
+    return [
+        ((padded[i] << 16 | padded[i + 1] << 8 | padded[i + 2]) * 2654435761 % 2**32) >> 16
+        for i in range(len(data)) if data[i] != 32
+    ]
+
+
+def test_trigrams():
+    texts = ["The cat.", None, "", "Ünïcode", "1 2 3", "a", "zz\nyy", "", "end"]
+    slots, first = li.trigrams(pa.array(texts))
+    assert [slots[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [brute_slots(t) for t in texts]
+
+
+def brute_fuse(rows, strength=20.0):
+    """rows: id, declared, host, suffix, letters, ll."""
+    hosts, suffixes, whole = defaultdict(Counter), defaultdict(Counter), Counter()
+    for _, _, host, suffix, letters, ll in rows:
+        if letters >= 20:
+            best = ll.index(max(ll))
+            hosts[host, suffix][best] += 1
+            suffixes[suffix][best] += 1
+            whole[best] += 1
+    base = [whole[i] + 1 for i in range(4)]
+    base = [x / sum(base) for x in base]
+
+    def smooth(own, above):
+        return [(own[i] + strength * above[i]) / (sum(own.values()) + strength) for i in range(4)]
+
+    out = {}
+    for key, declared, host, suffix, letters, ll in rows:
+        above = smooth(suffixes[suffix], base) if suffix in suffixes and suffix is not None else base
+        prior = smooth(hosts[host, suffix], above) if host is not None and (host, suffix) in hosts else above
+        scale = min(1, 200 / max(1, letters))
+        said = li.SUFFIX_LANGUAGES.get((suffix or "").lower())
+        s = []
+        for i, name in enumerate(LANGUAGES):
+            x = ll[i] * scale + math.log(prior[i])
+            for value, trust in (((declared or "")[:2].lower(), 0.9), (said, 0.7)):
+                if value in LANGUAGES:
+                    x += math.log(trust if value == name else (1 - trust) / 3)
+            s.append(x)
+        s.append(-letters * scale * 14.5 * math.log(2) + math.log(0.01))
+        best = max(s)
+        confidence = 1 / sum(math.exp(x - best) for x in s)
+        lang = (*LANGUAGES, "und")[s.index(best)] if letters else "und"
+        out[key] = (lang, confidence, letters > 0 and lang != "und" and confidence >= 0.5)
+    return out
+
+
+def test_fusion(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(300):
+        letters = int(rng.choice([0, 2, 30, 400]))
+        ll = (-(8 + 2 * rng.random(4)) * letters).tolist()
+        pick = lambda *v: v[int(rng.integers(len(v)))]
+        rows.append((i, pick("en", "de-AT", "FR", "xx", None), pick("a", "b", "c", None), pick("de", "com", None, "es"), letters, ll))
+    frame = spark.createDataFrame([(r[0], 0, *r[1:]) for r in rows], "id long, text_key long, declared string, host string, suffix string, letters long, ll array<double>")
+    want = brute_fuse(rows)
+    got = li.fuse(frame, LANGUAGES).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        lang, confidence, kept = want[r["id"]]
+        assert (r["lang"], r["kept"]) == (lang, kept) and math.isclose(r["confidence"], confidence, rel_tol=1e-9)
+
+
+def test_evidence_decides_short_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = li.train(li.document_rows(docs), LANGUAGES, 100)
+    rows = [(1, "on", "en", "h", None), (2, "on", "fr", "h", None), (3, None, "en", "h", None), (4, "", "de", None, None), (5, "123 !!", "en", "h", "de"),
+            (None, "the and of the that", None, None, None), (6, "qzx jqk wvq xzzq kjq vvx qqj", None, None, None), (7, "the and of that " * 4000, "de", None, "de")]
+    frame = spark.createDataFrame(rows, "id long, text string, declared string, host string, suffix string")
+    got = {r["id"]: r for r in li.fuse(li.text_evidence(frame, model), LANGUAGES).collect()}
+    assert len(got) == len(rows)
+    assert (got[1]["lang"], got[2]["lang"]) == ("en", "fr")
+    assert got[None]["lang"] == got[7]["lang"] == "en" and got[7]["kept"]
+    assert [got[i]["kept"] for i in (3, 4, 5, 6)] == [False] * 4
+
+
+def test_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = li.identify(li.document_rows(docs)).join(docs.withColumnRenamed("lang", "said"), li.F.col("id") == docs.doc_id).collect()
+    assert len(got) == docs.count()
+    assert np.mean([r["lang"] == r["said"] for r in got]) > 0.98
+    assert np.mean([r["kept"] for r in got]) > 0.98
+    assert li.keep_identified(docs).count() == sum(r["kept"] for r in got)
+
+
+def test_pages(spark):
+    got = page_language(spark, "/root/testdata/sf0.01").toPandas()
+    assert got["kept"].all()
+    pages = spark.createDataFrame([(1, None, None, 1), (2, "", "", 1), (3, "http://u:p@Ab.Example.DE:80/x", "<HTML lang=de><script>var x='the'</script>der &amp; die<!-- a --></html>", 1)],
+                                  "page_id long, url string, html string, lang int")
+    rows = {r["id"]: tuple(r)[1:] for r in li.page_rows(pages).collect()}
+    assert (rows[3][0].split(), *rows[3][1:]) == (["der", "die"], "de", "ab.example.de", "de")
+    assert rows[1] == (None, None, None, None) and rows[2][1:] == (None, None, None)
+
+
+@pytest.mark.parametrize("kept", [True, False])
+def test_empty(spark, kept):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    out = li.keep_identified(docs) if kept else li.identify(li.document_rows(docs))
+    assert out.count() == 0
