@@ -1,19 +1,19 @@
 """Sentence taggers: applying any callable, and two trainable baselines."""
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import FeatureHasher
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.functions.tags import decode_class, encode_class, lookup, universal_or_null
-from tagloom.operators.joins import salted_join
+from tagloom.functions.tags import encode_class, universal_or_null
+from tagloom.operators.joins import hot_keys, salted_join
 from tagloom.schemas import CORP, FORM, SENT_ID, STTS, TOKENS, TOKN_ID, UNIV
+from tagloom.sinks.records import write_record
+from tagloom.sources.records import read_record
 from tagloom.staging import ship_package, stage
 
 
@@ -83,18 +83,19 @@ def tag_forms(forms: DataFrame, lexicon: DataFrame, default="NN", suffixes=None,
 
     Unknown forms back off to the longest known suffix, then to `default`.
     """
-    known = forms.join(lexicon.select(FORM, F.col(tag).alias("_t0")), FORM, "left")
-    picks = [F.col("_t0")]
-    if suffixes is not None:
-        for k in range(longest, 0, -1):
-            # Only unknown forms need the suffix; known ones get a null key, which never joins.
-            wanted = F.when(F.col("_t0").isNull() & (F.length(FORM) >= k), F.right(F.col(FORM), F.lit(k)))
-            table = suffixes.select(F.col("SUFFIX").alias(f"_s{k}"), F.col(tag).alias(f"_t{k}"))
-            known = known.withColumn(f"_s{k}", wanted).join(table, f"_s{k}", "left").drop(f"_s{k}")
-            picks.append(F.col(f"_t{k}"))
-    picks.append(F.lit(default))
-    drop = ["_t0"] + [f"_t{k}" for k in range(1, longest + 1)]
-    return known.withColumn(f"PRED_{tag}", F.coalesce(*picks)).drop(*drop)
+    known = forms.join(lexicon.select(FORM, F.col(tag).alias("_t")), FORM, "left")
+    if suffixes is None:
+        return known.withColumn(f"PRED_{tag}", F.coalesce("_t", F.lit(default))).drop("_t")
+    # Only unknown forms look up suffixes: all their lengths meet the table in one join.
+    wanted = forms.select(FORM).distinct().join(lexicon.select(FORM), FORM, "left_anti")
+    lengths = F.sequence(F.lit(1), F.least(F.lit(longest), F.length(FORM)))
+    pieces = wanted.where(F.length(FORM) > 0).select(
+        FORM, F.explode(F.transform(lengths, lambda k: F.right(F.col(FORM), k))).alias("SUFFIX")
+    )
+    found = pieces.join(suffixes.select("SUFFIX", F.col(tag).alias("_s")), "SUFFIX")
+    guessed = found.groupBy(FORM).agg(F.max_by("_s", F.length("SUFFIX")).alias("_s"))
+    met = known.join(guessed, FORM, "left")
+    return met.withColumn(f"PRED_{tag}", F.coalesce("_t", "_s", F.lit(default))).drop("_t", "_s")
 
 
 def tag_tokens(tokens: DataFrame, tagged_forms: DataFrame, spread_by, hot=(), pred=f"PRED_{STTS}"):
@@ -128,32 +129,85 @@ def context_features(sents: DataFrame, key=(CORP, SENT_ID)) -> DataFrame:
     return sents.select(*key, F.inline(entries))
 
 
-def context_pipeline(n_features=1 << 16, smoothing=0.1) -> Pipeline:
-    hasher = FeatureHasher(numFeatures=n_features, inputCols=CONTEXT_FEATURES, outputCol="features")
-    bayes = NaiveBayes(labelCol="label", featuresCol="features", smoothing=smoothing, weightCol="w")
-    return Pipeline(stages=[hasher, bayes])
-
-
 @dataclass
 class ContextTagger:
-    model: PipelineModel
-    classes: list  # position in the classifier -> class code
+    """Naive Bayes over exact feature values.
+
+    base: per class its log prior plus what unseen values cost. weights: one row per seen (feature, value) with
+    what it adds per class; n is its count in training.
+    """
+
+    classes: list  # class names in code order
+    base: list
+    weights: DataFrame
 
     def tag(self, features: DataFrame) -> DataFrame:
-        scored = self.model.transform(features)
-        code = lookup(dict(enumerate(self.classes)), F.col("prediction").cast("int"))
-        return scored.withColumn(f"PRED_{UNIV}", decode_class(code)).drop(
-            "features", "rawPrediction", "probability", "prediction"
+        """Add PRED_UNIV: the class with the highest score, rounded to nine places; ties go to the first class."""
+        score = F.array(*[F.lit(float(x)) for x in self.base])
+        scored = features
+        for feature in CONTEXT_FEATURES:
+            table = self.weights.where(F.col("feature") == feature)
+            hot = hot_keys(table, "value")
+            table = table.select(F.col("value").alias(feature), F.col("w").alias(f"_{feature}"))
+            # Rows of a hot value are spread by the rest of the row.
+            others = [c for c in features.columns if c != feature]
+            scored = salted_join(scored, table, feature, hot, others)
+            added = F.coalesce(f"_{feature}", F.array_repeat(F.lit(0.0), len(self.classes)))
+            score = F.zip_with(score, added, lambda a, b: a + b)
+        rounded = F.transform(score, lambda x: F.round(x, 9))
+        names = F.array(*[F.lit(c) for c in self.classes])
+        best = scored.select(*features.columns, F.explode(F.array(rounded)).alias("_s"))
+        return best.select(
+            *features.columns, F.element_at(names, F.array_position("_s", F.array_max("_s")).cast("int")).alias(f"PRED_{UNIV}")
         )
 
 
-def train_context_tagger(features: DataFrame, tag=UNIV, **options) -> ContextTagger:
-    """Naive Bayes over hashed features; equal rows are counted and become weights."""
-    rows = features.groupBy(*CONTEXT_FEATURES, tag).agg(F.count(F.lit(1)).cast("double").alias("w"))
-    rows = stage(rows.withColumn("code", encode_class(tag)), "context")
-    classes = [r[0] for r in rows.select("code").distinct().orderBy("code").collect()]
-    position = lookup({c: float(i) for i, c in enumerate(classes)}, "code")
-    return ContextTagger(context_pipeline(**options).fit(rows.withColumn("label", position)), classes)
+def train_context_tagger(features: DataFrame, tag=UNIV, smoothing=0.1) -> ContextTagger:
+    """Count classes and (feature, value, class) cells; every value has its own cell."""
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in CONTEXT_FEATURES])
+    rows = features.groupBy(*CONTEXT_FEATURES, tag).agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.withColumn("_code", encode_class(tag))
+    totals = {r[tag]: r["n"] for r in rows.groupBy("_code", tag).agg(F.sum("n").alias("n")).orderBy("_code").collect()}
+    classes = list(totals)
+    cells = rows.select(F.explode(entries).alias("e"), tag, "n").groupBy("e.feature", "e.value").agg(
+        F.array(*[F.coalesce(F.sum(F.when(F.col(tag) == c, F.col("n"))), F.lit(0)) for c in classes]).alias("counts"),
+        F.sum("n").alias("n"),
+    )
+    gain = F.transform("counts", lambda n: F.log((n + smoothing) / smoothing))
+    weights = stage(cells.select("feature", "value", "n", gain.alias("w")), "context")
+    values = {r["feature"]: r["n"] for r in weights.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    size = sum(totals.values())
+    base = [
+        math.log(totals[c] / size) + sum(math.log(smoothing / (totals[c] + smoothing * values[f])) for f in CONTEXT_FEATURES)
+        for c in classes
+    ]
+    return ContextTagger(classes, base, weights)
+
+
+# --- saving -----------------------------------------------------------------------------------
+
+
+def save_lexicon(path, lexicon: DataFrame, suffixes: DataFrame | None = None):
+    """Write a lexicon, and its suffix table if there is one, below `path`."""
+    lexicon.write.mode("overwrite").parquet(f"{path}/lexicon")
+    if suffixes is not None:
+        suffixes.write.mode("overwrite").parquet(f"{path}/suffixes")
+
+
+def load_lexicon(spark, path, suffixes=False):
+    """(lexicon, suffix table or None) as saved."""
+    return spark.read.parquet(f"{path}/lexicon"), spark.read.parquet(f"{path}/suffixes") if suffixes else None
+
+
+def save_context_tagger(path, tagger: ContextTagger):
+    spark = tagger.weights.sparkSession
+    tagger.weights.write.mode("overwrite").parquet(f"{path}/weights")
+    write_record(spark, {"classes": tagger.classes, "base": tagger.base}, f"{path}/base.record")
+
+
+def load_context_tagger(spark, path) -> ContextTagger:
+    record = read_record(spark, f"{path}/base.record")
+    return ContextTagger(record["classes"], record["base"], spark.read.parquet(f"{path}/weights"))
 
 
 # --- hold-out split -------------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.tags import folded
+from tagloom.operators.ordering import number_rows
 from tagloom.schemas import CORP, FORM, SENT_ID, TOKENS, TOKN_ID
 
 
@@ -39,6 +40,11 @@ def most_frequent_first(vocab: DataFrame) -> DataFrame:
     return vocab.orderBy(F.col("n").desc(), FORM)
 
 
+def ranked(vocab: DataFrame) -> DataFrame:
+    """Forms with their `rank`, the most frequent first, ties by form."""
+    return number_rows(vocab.withColumn("_below", -F.col("n")), ["_below", FORM], name="rank").drop("_below")
+
+
 def keep_probabilities(vocab: DataFrame, sample=1e-3) -> DataFrame:
     """Keep probability of a form under frequent-word subsampling (Mikolov et al. 2013)."""
     total = vocab.agg(F.sum("n")).first()[0] or 1
@@ -50,15 +56,15 @@ def keep_probabilities(vocab: DataFrame, sample=1e-3) -> DataFrame:
 def subsample(tokens: DataFrame, vocab: DataFrame, sample=1e-3, seed=1, key=(CORP, SENT_ID, TOKN_ID)):
     """Drop frequent forms at random; the draw is a hash of the token key, so it can be retried."""
     kept = keep_probabilities(vocab, sample).where(F.col("keep") < 1).select(FORM, "keep")
-    # A form below 1 has a share of the tokens above `sample`, so there are few of them.
-    bound = int(1 / sample) + 1
-    rates = {r[FORM]: r["keep"] for r in kept.limit(bound).collect()}
+    # A form below 1 has a share of the tokens above `sample`: there are at most 1 / sample of them.
+    rates = {r[FORM]: r["keep"] for r in kept.collect()}
     if not rates:
         return tokens
     rate = F.coalesce(
         F.create_map(*[F.lit(x) for pair in rates.items() for x in pair])[F.col(FORM)], F.lit(1.0)
     )
-    draw = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+    draw = F.conv(F.left(digest, F.lit(8)), 16, 10).cast("long") / F.lit(float(1 << 32))
     return tokens.where(draw < rate)
 
 
@@ -68,35 +74,33 @@ def negative_distribution(vocab: DataFrame, power=0.75) -> DataFrame:
     return vocab.withColumn("p", F.pow("n", F.lit(power)) / F.lit(mass))
 
 
-def context_pairs(sents: DataFrame, window=5) -> DataFrame:
-    """All (CENTER, CONTEXT) pairs at most `window` apart inside a sentence.
+#: A token's contexts share this weight in CBOW counts: divisible by every number up to 10.
+CBOW_SHARE = 2520
 
-    Every token takes only the following `window` tokens along, so a sentence of m tokens costs
-    window * m; each hit is emitted in both directions.
-    """
-    after = F.transform(
-        F.col(TOKENS),
-        lambda x, i: F.struct(x.alias("A"), F.slice(F.col(TOKENS), i + 2, F.lit(window)).alias("AFTER")),
-    )
-    heads = sents.select(F.inline(after))
-    hits = heads.select("A", F.explode("AFTER").alias("B"))
-    both = F.array(
-        F.struct(F.col("A").alias("CENTER"), F.col("B").alias("CONTEXT")),
-        F.struct(F.col("B").alias("CENTER"), F.col("A").alias("CONTEXT")),
-    )
-    return hits.select(F.inline(both))
 
+def pair_counts(sents: DataFrame, window=5, arch="sg") -> DataFrame:
+    """(CENTER, CONTEXT, n): symmetric co-occurrence counts as skip-gram or CBOW weighs them.
 
-def pair_counts(sents: DataFrame, window=5) -> DataFrame:
-    """Co-occurrence counts. One direction is counted, the mirror is added to the counts."""
-    after = F.transform(
-        F.col(TOKENS),
-        lambda x, i: F.struct(x.alias("A"), F.slice(F.col(TOKENS), i + 2, F.lit(window)).alias("AFTER")),
-    )
-    hits = sents.select(F.inline(after)).select("A", F.explode("AFTER").alias("B"))
+    sg: every pair counts 1. cb: a token's contexts share one unit of CBOW_SHARE, as they are averaged
+    there, and the two roles of a pair are added. Whole numbers; windows of 5 divide without rest. One
+    direction is counted, the mirror is added to the counts.
+    """
+    if arch not in ("sg", "cb"):
+        raise ValueError(f"unknown architecture {arch}")
+    m = F.size(TOKENS)
+
+    def share(i):
+        around = F.least(i, F.lit(window)) + F.least(m - 1 - i, F.lit(window))
+        return F.when(around > 0, F.floor(F.lit(CBOW_SHARE) / around)).otherwise(0).cast("long")
+
+    weighed = F.transform(TOKENS, lambda x, i: F.struct(x.alias("f"), (share(i) if arch == "cb" else F.lit(0)).alias("w")))
+    rows = sents.select(F.explode(F.array(weighed)).alias("_t"))
+    after = F.transform("_t", lambda x, i: F.struct(x.alias("a"), F.slice("_t", i + 2, F.lit(window)).alias("after")))
+    hits = rows.select(F.inline(after)).select("a", F.explode("after").alias("b"))
+    unit = F.lit(1).cast("long") if arch == "sg" else F.col("a.w") + F.col("b.w")
     counted = hits.groupBy(
-        F.least("A", "B").alias("A"), F.greatest("A", "B").alias("B")
-    ).agg(F.count(F.lit(1)).alias("n"))
+        F.least("a.f", "b.f").alias("A"), F.greatest("a.f", "b.f").alias("B")
+    ).agg(F.sum(unit).alias("n"))
     # A pair of equal forms is its own mirror and counts twice.
     sides = F.when(
         F.col("A") == F.col("B"),

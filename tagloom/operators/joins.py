@@ -13,7 +13,7 @@ def hot_keys(counts: DataFrame, key=FORM, n="n", parts=HOT_PARTS):
     """Keys that hold more than 1/parts of all rows; the list has at most `parts` entries."""
     total = counts.agg(F.sum(n)).first()[0] or 0
     hot = counts.where(F.col(n) * parts > total)
-    return [r[0] for r in hot.select(key).limit(parts).collect()]
+    return [r[0] for r in hot.select(key).collect()]
 
 
 def salted_join(rows: DataFrame, table: DataFrame, on, hot, spread_by, how="left", salts=None):

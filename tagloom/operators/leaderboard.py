@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAXED = ("precision", "recall", "f1_weighted", "train_time", "test_time")
+from tagloom.operators.ordering import number_rows
+
+MAXED = ("precision", "recall", "f1_weighted", "train_time", "test_time", "train_size")
 TIMES = ("train_time", "test_time")
 SWEEP_KEYS = ("embedding_size", "embedding_model", "lowercase", "scale", "C")
 
@@ -38,6 +40,11 @@ def leaderboard(df: DataFrame, score="f1_weighted", ties=("model",)) -> DataFram
     return df.orderBy(F.col(score).desc(), *ties)
 
 
+def ranked(df: DataFrame, score="f1_weighted", ties=("model",)) -> DataFrame:
+    """Runs with their `rank` in the leaderboard, numbered without one global window; `ties` make rows unique."""
+    return number_rows(df.withColumn("_below", -F.col(score)), ["_below", *ties], name="rank").drop("_below")
+
+
 def best_rows(df: DataFrame, keys, score="f1_weighted", order="model") -> DataFrame:
     """The whole row with the highest score per group; the first in `order` wins a tie.
 

@@ -180,7 +180,7 @@ _sql("head_slice", """
 SELECT CORP, D, E, LINE, TOKN_ID, FORM FROM (
   SELECT *, row_number() OVER (ORDER BY CORP, D, E, LINE, TOKN_ID) AS rn FROM tok) WHERE rn <= 1000""")
 _sql("tail_preview", """
-SELECT CORP, D, E, LINE, TOKN_ID, FORM FROM (
+SELECT CORP, D, E, LINE, TOKN_ID, FORM, CAST(row_number() OVER (ORDER BY CORP, D, E, LINE, TOKN_ID) AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (ORDER BY CORP DESC, D DESC, E DESC, LINE DESC, TOKN_ID DESC) AS rn FROM tok)
 WHERE rn <= 1000""")
 _sql("training_slice", """
@@ -207,10 +207,16 @@ SELECT CORP, D, E, LINE, string_agg(lower(FORM), ' ' ORDER BY TOKN_ID) AS senten
 FROM tok GROUP BY 1, 2, 3, 4""")
 _sql("corpus_union", "SELECT CORP, count(*) AS n FROM tok GROUP BY 1")
 _VOCAB = _LINES + ",\nvocab AS (SELECT FORM, count(*) AS n FROM tok GROUP BY 1)"
-_sql("vocabulary", "SELECT FORM, n FROM vocab", _VOCAB)
+_sql("vocabulary", "SELECT FORM, n, row_number() OVER (ORDER BY n DESC, FORM) AS rank FROM vocab", _VOCAB)
 _sql("keep_probabilities", """
 SELECT FORM, n, round(least(1.0, (sqrt(x) + 1) / x), 6) AS keep
 FROM (SELECT FORM, n, n / (0.001 * (SELECT sum(n) FROM vocab)) AS x FROM vocab)""", _VOCAB)
+_sql("subsampled_tokens", """
+SELECT FORM, count(*) AS n
+FROM (SELECT tok.FORM, v.n / (0.001 * (SELECT sum(n) FROM vocab)) AS x,
+             CAST(CAST('0x' || left(md5(concat_ws('|', '1', CORP, D, E, LINE, TOKN_ID)), 8) AS BIGINT) AS DOUBLE) / 4294967296 AS draw
+      FROM tok JOIN vocab v ON tok.FORM = v.FORM)
+WHERE draw < least(1.0, (sqrt(x) + 1) / x) GROUP BY 1""", _VOCAB)
 _sql("negative_distribution", """
 SELECT FORM, n, round(pow(n, 0.75) / (SELECT sum(pow(n, 0.75)) FROM vocab), 9) AS p FROM vocab""", _VOCAB)
 _sql("context_pair_counts", """
@@ -295,7 +301,7 @@ _sql("best_runs", """
 SELECT train_size, model, f1_weighted, scale, C, embedding_model FROM (
   SELECT *, row_number() OVER (PARTITION BY train_size ORDER BY f1_weighted DESC, model) AS rn FROM runs)
 WHERE rn = 1""", _RUNS)
-_COLS = ("precision", "f1_weighted", "train_time", "test_time")
+_COLS = ("precision", "f1_weighted", "train_time", "test_time", "train_size")
 _MAX = ", ".join(f"max({c}) AS max_{c}" for c in _COLS)
 _MEAN = ", ".join(f"round(avg({c}), 4) AS mean_{c}" for c in _COLS)
 _MIN = ", ".join(f"min({c}) AS min_{c}" for c in ("train_time", "test_time"))
@@ -311,7 +317,14 @@ SELECT CASE WHEN grouping(embedding_model) = 0 THEN 'embedding_model' WHEN group
 FROM runs WHERE max_iter = -1
 GROUP BY GROUPING SETS ((train_size), (embedding_model), (scale), (C), (embedding_model, train_size),
                         (scale, train_size), (C, train_size))""", _RUNS)
-_sql("leaderboard", "SELECT model, f1_weighted, precision FROM runs", _RUNS)
+_sql("limit_sweep", f"""
+SELECT CASE WHEN grouping(max_iter) = 0 THEN 'max_iter' ELSE 'train_size' END AS key,
+       coalesce(CAST(max_iter AS VARCHAR), CAST(train_size AS VARCHAR)) AS value,
+       CASE WHEN grouping(max_iter) = 0 THEN CAST(train_size AS VARCHAR) END AS subset,
+       count(*) AS runs, first(model ORDER BY f1_weighted DESC, model) AS best_model, {_MAX}, {_MEAN}, {_MIN}
+FROM runs GROUP BY GROUPING SETS ((train_size), (max_iter), (max_iter, train_size))""", _RUNS)
+_sql("leaderboard", """
+SELECT row_number() OVER (ORDER BY f1_weighted DESC, model) AS rank, model, f1_weighted, precision FROM runs""", _RUNS)
 _sql("plot_series", """
 SELECT concat(CASE embedding_model WHEN 'O' THEN 'open' ELSE embedding_model END, ' | train-size: ', train_size) AS series,
        count(*) AS n, max(train_time) AS max_x, max(f1_weighted) AS max_y
@@ -363,17 +376,59 @@ SELECT 'lexicon' AS model, CORP AS corpus, tagset, test_size, accuracy, precisio
 FROM ({ORACLE['evaluation_grid']}) WHERE tagger = 'lexicon' AND CORP = 'B'""", None)
 
 # --- learning: the learnt numbers differ by design, what every run must give does not
-_FACTS = "SELECT DISTINCT FORM, true AS complete, true AS finite FROM tok WHERE CORP = 'A'"
+_FACTS = "SELECT DISTINCT FORM, true AS complete, true AS finite FROM tok"
 for _name in ("skipgram_vectors", "skipgram_vectors_ml", "cbow_vectors", "factorised_vectors"):
     _sql(_name, _FACTS)
 _sql("vector_grid", """
 SELECT arch, CAST(dim AS INTEGER) AS dim, lowercase, count(*) AS forms, count(*) AS distinct_forms,
        CAST(dim AS INTEGER) AS shortest
-FROM (SELECT DISTINCT lower(FORM) AS f, true AS lowercase FROM tok WHERE CORP = 'A'
-      UNION ALL SELECT DISTINCT FORM, false FROM tok WHERE CORP = 'A'),
+FROM (SELECT DISTINCT lower(FORM) AS f, true AS lowercase FROM tok
+      UNION ALL SELECT DISTINCT FORM, false FROM tok),
      (VALUES ('sg'), ('cb')) a(arch), (VALUES (12), (25), (50), (100)) d(dim) GROUP BY arch, dim, lowercase""")
 _sql("vector_table_lookup", "SELECT FORM, CAST(len(vec) AS INTEGER) AS dim FROM emb", _EMB)
-for _name in ("svm_linear", "svm_rbf", "svm_poly"):
-    _sql(_name, "SELECT FORM, true AS known_class FROM emb", _EMB)
-for _name in ("svm_annotation", "context_tagger"):
-    _sql(_name, "SELECT CORP, D, count(*) AS n, count(*) AS tagged FROM tok WHERE CORP = 'B' GROUP BY 1, 2")
+_sql("svm_linear", """
+SELECT FORM, CAST(list_position(v, list_max(v)) - 1 AS INTEGER) AS code
+FROM (SELECT FORM, vec[1:4] AS v FROM emb) WHERE list_max(v) - list_sort(v)[3] > 0.02""", _EMB)
+_sql("svm_rbf", """
+SELECT FORM, CASE WHEN r < 0.02 THEN 0 ELSE 1 END AS code
+FROM (SELECT FORM, vec[1] * vec[1] + vec[2] * vec[2] AS r FROM emb) WHERE abs(r - 0.02) > 0.004""", _EMB)
+_sql("svm_poly", """
+SELECT FORM, CASE WHEN p < 0 THEN 0 ELSE 1 END AS code
+FROM (SELECT FORM, vec[1] * vec[2] * vec[3] AS p FROM emb) WHERE abs(p) > 0.0005""", _EMB)
+_sql("ppmi_rows", """
+SELECT arch, CENTER, count(*) AS entries, round(sum(m), 4) AS total, round(max(m), 6) AS largest
+FROM (SELECT p.arch, p.CENTER, ln(p.n / (c.total * (pow(x.total, 0.75) / smooth))) - ln(5) AS m
+      FROM pairs p JOIN totals c ON p.arch = c.arch AND p.CENTER = c.f JOIN totals x ON p.arch = x.arch AND p.CONTEXT = x.f
+      JOIN (SELECT arch, sum(pow(total, 0.75)) AS smooth FROM totals GROUP BY 1) s ON p.arch = s.arch)
+WHERE m > 0 GROUP BY 1, 2""", _LINES + """,
+placed AS (SELECT *, 2520 // nullif(least(TOKN_ID - 1, 5) + least(max(TOKN_ID) OVER (PARTITION BY CORP, D, E, LINE) - TOKN_ID, 5), 0) AS w FROM tok),
+hits AS (SELECT a.FORM AS CENTER, b.FORM AS CONTEXT, count(*) AS sg, sum(a.w + b.w) AS cb
+         FROM (SELECT *, unnest([-5, -4, -3, -2, -1, 1, 2, 3, 4, 5]) AS step FROM placed) a
+         JOIN placed b ON a.CORP = b.CORP AND a.D = b.D AND a.E = b.E AND a.LINE = b.LINE AND b.TOKN_ID = a.TOKN_ID + a.step
+         GROUP BY 1, 2),
+pairs AS (SELECT 'sg' AS arch, CENTER, CONTEXT, CAST(sg AS DOUBLE) AS n FROM hits
+          UNION ALL SELECT 'cb', CENTER, CONTEXT, CAST(cb AS DOUBLE) FROM hits),
+totals AS (SELECT arch, CENTER AS f, sum(n) AS total FROM pairs GROUP BY 1, 2)""")
+_sql("vector_checks", """
+SELECT arch, true AS converged, true AS differ, (SELECT count(DISTINCT FORM) FROM tok) AS forms FROM (VALUES ('sg'), ('cb')) a(arch)""")
+_sql("svm_annotation", "SELECT CORP, D, count(*) AS n, count(*) AS tagged FROM tok WHERE CORP = 'B' GROUP BY 1, 2")
+_sql("context_tagger", """
+SELECT CORP, D, PRED_UNIV, count(*) AS n, count(*) FILTER (PRED_UNIV = UNIV) AS hits
+FROM feat JOIN combo USING (f1, f2, f3, f4, f5)
+JOIN (SELECT id, UNIV AS PRED_UNIV FROM scored QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, code) = 1) USING (id)
+WHERE CORP = 'B' GROUP BY 1, 2, 3""", _GOLD + """,
+codes(UNIV, code) AS (VALUES %s),
+feat AS (SELECT *, lower(FORM) AS f1, right(FORM, 3) AS f2,
+                regexp_replace(regexp_replace(regexp_replace(FORM, '\\p{Lu}+', 'X', 'g'), '\\p{Ll}+', 'x', 'g'), '[0-9]+', 'd', 'g') AS f3,
+                coalesce(lag(lower(FORM)) OVER s, '<edge>') AS f4, coalesce(lead(lower(FORM)) OVER s, '<edge>') AS f5
+         FROM gold WINDOW s AS (PARTITION BY CORP, D, E, LINE ORDER BY TOKN_ID)),
+cls AS (SELECT UNIV, count(*) AS n FROM feat WHERE CORP = 'A' GROUP BY 1),
+cells AS (SELECT f, v, UNIV, count(*) AS n FROM (
+            SELECT UNIV, unnest([1, 2, 3, 4, 5]) AS f, unnest([f1, f2, f3, f4, f5]) AS v FROM feat WHERE CORP = 'A') GROUP BY 1, 2, 3),
+kinds AS (SELECT f, count(DISTINCT v) AS k FROM cells GROUP BY 1),
+base AS (SELECT UNIV, ln(any_value(n) / (SELECT sum(n) FROM cls)) + sum(ln(0.1 / (n + 0.1 * k))) AS b FROM cls, kinds GROUP BY 1),
+combo AS (SELECT row_number() OVER () AS id, * FROM (SELECT DISTINCT f1, f2, f3, f4, f5 FROM feat WHERE CORP = 'B')),
+gains AS (SELECT id, UNIV, sum(ln((n + 0.1) / 0.1)) AS s
+          FROM (SELECT id, unnest([1, 2, 3, 4, 5]) AS f, unnest([f1, f2, f3, f4, f5]) AS v FROM combo) JOIN cells USING (f, v) GROUP BY 1, 2),
+scored AS (SELECT id, base.UNIV, code, round(b + coalesce(s, 0), 9) AS score
+           FROM combo CROSS JOIN base JOIN codes ON base.UNIV = codes.UNIV LEFT JOIN gains USING (id, UNIV))""" % ", ".join(f"('{k}', {v})" for k, v in UNIV_CODES.items()))

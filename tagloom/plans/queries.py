@@ -2,7 +2,7 @@
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions import tags as tg
@@ -210,7 +210,8 @@ def head_slice(spark, sf):
 
 @query
 def tail_preview(spark, sf):
-    return od.preview(tb.placed(spark, sf), tb.KEY, -1000)
+    # The preview has 1000 rows, so one window may number them.
+    return od.preview(tb.placed(spark, sf), tb.KEY, -1000).withColumn("rank", F.row_number().over(Window.orderBy(*tb.KEY)))
 
 
 @query
@@ -279,7 +280,7 @@ def _vocabulary(spark, sf):
 
 @query
 def vocabulary(spark, sf):
-    return co.most_frequent_first(_vocabulary(spark, sf))
+    return co.ranked(_vocabulary(spark, sf))
 
 
 @query
@@ -458,7 +459,7 @@ def _runs(spark, sf):
     )
 
 
-RUN_SCORES = ("precision", "f1_weighted", "train_time", "test_time")
+RUN_SCORES = ("precision", "f1_weighted", "train_time", "test_time", "train_size")
 RUN_KEYS = ("embedding_model", "scale", "C")
 
 
@@ -510,9 +511,16 @@ def key_sweep(spark, sf):
     return swept.withColumns({f"mean_{c}": F.round(f"mean_{c}", 4) for c in RUN_SCORES})
 
 
+@query
+def limit_sweep(spark, sf):
+    """The iteration limit as a key, over runs with and without one."""
+    swept = lb.sweep(_runs(spark, sf), keys=("max_iter",), scores=RUN_SCORES)
+    return swept.withColumns({f"mean_{c}": F.round(f"mean_{c}", 4) for c in RUN_SCORES})
+
+
 @query
 def leaderboard(spark, sf):
-    return lb.leaderboard(_runs(spark, sf)).select("model", "f1_weighted", "precision")
+    return lb.ranked(_runs(spark, sf)).select("rank", "model", "f1_weighted", "precision")
 
 
 @query
@@ -632,7 +640,7 @@ def score_records(spark, sf):
 
 # --- learning -------------------------------------------------------------------------------
 
-QUICK = word2vec.Settings(dim=12, epochs=1)
+STUDY = word2vec.Settings()
 
 
 def _vector_facts(vectors, dim):
@@ -642,29 +650,55 @@ def _vector_facts(vectors, dim):
 
 @query
 def skipgram_vectors(spark, sf):
-    return _vector_facts(word2vec.train(tb.sentences(spark, sf, "A"), "sg", QUICK), 12)
+    return _vector_facts(word2vec.train(tb.sentences(spark, sf), "sg", STUDY), STUDY.dim)
 
 
 @query
 def skipgram_vectors_ml(spark, sf):
-    return _vector_facts(word2vec.train(tb.sentences(spark, sf, "A"), "sg", QUICK, engine="ml"), 12)
+    return _vector_facts(word2vec.train(tb.sentences(spark, sf), "sg", STUDY, engine="ml"), STUDY.dim)
 
 
 @query
 def cbow_vectors(spark, sf):
-    return _vector_facts(word2vec.train(tb.sentences(spark, sf, "A"), "cb", QUICK), 12)
+    return _vector_facts(word2vec.train(tb.sentences(spark, sf), "cb", STUDY), STUDY.dim)
 
 
 @query
 def factorised_vectors(spark, sf):
-    return _vector_facts(word2vec.train(tb.sentences(spark, sf, "A"), "sg", QUICK, engine="factor"), 12)
+    return _vector_facts(word2vec.train(tb.sentences(spark, sf), "sg", replace(STUDY, dim=50)), 50)
+
+
+@query
+def ppmi_rows(spark, sf):
+    """Every form's row of the matrix that is factorised, as skip-gram and as CBOW weighs pairs."""
+    sents = tb.sentences(spark, sf)
+
+    def rows(arch):
+        entries = word2vec.shifted_ppmi(co.pair_counts(sents, STUDY.window, arch), STUDY.negative)
+        return entries.groupBy("CENTER").agg(
+            F.count(F.lit(1)).alias("entries"), F.round(F.sum("m"), 4).alias("total"), F.round(F.max("m"), 6).alias("largest"),
+        ).withColumn("arch", F.lit(arch))
+
+    return co.union_corpora(rows("sg"), rows("cb"))
+
+
+@query
+def vector_checks(spark, sf):
+    """Whether each architecture's vectors meet the tolerance, cover all forms and differ from the other's."""
+    sents = stage(tb.sentences(spark, sf).select(TOKENS), "sentences")
+    vocab = stage(co.vocabulary(co.forms_of(sents)), "vocabulary")
+    found = {arch: word2vec.factorised(sents, vocab, arch, STUDY) for arch in ("sg", "cb")}
+    sg, cb = (stage(v, "vectors") for v, _ in found.values())
+    apart = F.array_max(F.transform(F.arrays_zip(F.col("s.vec").alias("x"), F.col("c.vec").alias("y")), lambda z: F.abs(z["x"] - z["y"])))
+    met = sg.alias("s").join(cb.alias("c"), FORM).agg(F.count(F.lit(1)).alias("forms"), (F.max(apart) > 0.01).alias("differ"))
+    return met.crossJoin(spark.createDataFrame([(a, r <= STUDY.tolerance) for a, (_, r) in found.items()], "arch string, converged boolean"))
 
 
 @query
 def vector_grid(spark, sf):
     """All 16 combinations of architecture, case folding and dimensionality."""
     root = staged_path(spark, "vectors")
-    word2vec.train_grid(tb.sentences(spark, sf, "A"), root, settings=replace(QUICK, epochs=1))
+    word2vec.train_grid(tb.sentences(spark, sf), root, settings=STUDY)
     table = spark.read.schema(src.VECTORS).parquet(root)
     return table.groupBy("arch", "dim", "lowercase").agg(
         F.count(F.lit(1)).alias("forms"), F.countDistinct(FORM).alias("distinct_forms"),
@@ -681,13 +715,30 @@ def vector_table_lookup(spark, sf):
     return vec.select(FORM, F.size("vec").alias("dim"))
 
 
-def _kernel_run(spark, sf, kernel, max_iter=5):
-    rows = _vectors(spark, sf).select(
-        FORM, F.col("label").cast("double").alias("label"), F.lit(1.0).alias("w"), as_doubles("vec").alias("vec")
+#: What the vectors' own coordinates say, which a machine has to find out from the rows.
+_RULES = {
+    # The largest of four coordinates.
+    "linear": ("array_position(slice(vec, 1, 4), array_max(slice(vec, 1, 4))) - 1",
+               "array_max(slice(vec, 1, 4)) - sort_array(slice(vec, 1, 4))[2]", 0.02),
+    # Inside or outside a ball.
+    "rbf": ("IF(vec[0] * vec[0] + vec[1] * vec[1] < 0.02, 0, 1)", "abs(vec[0] * vec[0] + vec[1] * vec[1] - 0.02)", 0.004),
+    # The sign of a product of three coordinates.
+    "poly": ("IF(vec[0] * vec[1] * vec[2] < 0, 0, 1)", "abs(vec[0] * vec[1] * vec[2])", 0.0005),
+}
+_COORDINATES = {"linear": 4, "rbf": 2, "poly": 3}
+
+
+def _kernel_run(spark, sf, kernel):
+    """The predicted class of every vector that is not on the border of its rule."""
+    rule, margin, least = _RULES[kernel]
+    rows = _vectors(spark, sf).select(FORM, as_doubles("vec").alias("vec"))
+    rows = rows.select(
+        FORM, F.expr(rule).cast("double").alias("label"), F.lit(1.0).alias("w"), F.transform(F.slice("vec", 1, _COORDINATES[kernel]), lambda x: x * 10).alias("vec"),
+        (F.expr(margin) > least).alias("clear"),
     )
-    settings = svm.SvmSettings(kernel, kernel=kernel, scale=True, max_iter=max_iter, components=64)
+    settings = svm.SvmSettings(kernel, kernel=kernel, scale=kernel == "rbf", C=1000.0)
     tagger = svm.train_rows(rows, settings)
-    return tagger.predict(rows.select(FORM, "vec")).select(FORM, F.col("code").between(0, 9).alias("known_class"))
+    return tagger.predict(rows.where("clear").select(FORM, "vec")).select(FORM, F.col("code"))
 
 
 @query
@@ -709,8 +760,8 @@ def svm_poly(spark, sf):
 def svm_annotation(spark, sf):
     """The main study: vectors from both corpora, RBF model from A, one class per token of B."""
     sents = tb.sentences(spark, sf)
-    vectors = word2vec.train(sents, "cb", QUICK)
-    settings = svm.SvmSettings("study", kernel="rbf", scale=True, max_iter=5, components=64)
+    vectors = stage(word2vec.train(sents, "cb", STUDY), "vectors")
+    settings = svm.SvmSettings("study", kernel="rbf", scale=True)
     tagger = svm.train(tb.gold(spark, sf, "A"), vectors, settings, keys=tb.KEY)
     tagged = svm.annotate(tagger, tb.placed(spark, sf, "B"), vectors, keys=tb.KEY)
     return tagged.groupBy(CORP, "D").agg(
@@ -718,14 +769,17 @@ def svm_annotation(spark, sf):
     )
 
 
+def _tagged_features(spark, sf, corp):
+    """Context features with the tags of the same sentence rows; no join."""
+    features = taggers.context_features(tb.sentences(spark, sf, corp), (CORP, *tb.SENTENCE))
+    return tb.normalised(tb.annotated(features))
+
+
 @query
 def context_tagger(spark, sf):
-    """Naive Bayes on context features: trained on A, applied to B."""
-    key = (CORP, *tb.SENTENCE)
-    gold = tb.gold(spark, sf, "A").select(*tb.KEY, UNIV)
-    train = taggers.context_features(tb.sentences(spark, sf, "A"), key).join(gold, tb.KEY)
-    model = taggers.train_context_tagger(train)
-    tagged = model.tag(taggers.context_features(tb.sentences(spark, sf, "B"), key))
-    return tagged.groupBy(CORP, "D").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("PRED_UNIV").isin(list(tg.UNIV_CODES))).alias("tagged")
+    """Naive Bayes on context features: trained on A, applied to B, compared with gold."""
+    model = taggers.train_context_tagger(_tagged_features(spark, sf, "A"))
+    tagged = model.tag(_tagged_features(spark, sf, "B"))
+    return tagged.groupBy(CORP, "D", "PRED_UNIV").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("PRED_UNIV") == F.col(UNIV)).alias("hits")
     )

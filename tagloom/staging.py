@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local_dirs = {}
+_written = {}
 _shipped = set()
 
 
@@ -31,11 +32,13 @@ def build_session(app="tagloom", cores="8", memory="12g", **conf):
 
 
 def shared_dir(spark):
-    """The folder every executor can reach: the cluster's setting, else a local test folder."""
+    """The folder every executor can reach: the cluster's setting; only local sessions may go without."""
     configured = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if configured:
         return configured
     app = spark.sparkContext.applicationId
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError(f"set {_SETTING} to a folder that the driver and all executors share")
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="tagloom-")
         spark.sparkContext.setCheckpointDir(_local_dirs[app])
@@ -43,7 +46,17 @@ def shared_dir(spark):
 
 
 def staged_path(spark, name):
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_staged(spark):
+    """Delete what this application has staged so far; results that still read it must be done."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
 
 
 def stage(df: DataFrame, name="stage") -> DataFrame:

@@ -1,7 +1,10 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from tagloom.learn import taggers
+from tagloom.staging import staged_path
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +62,42 @@ def test_context_tagger_uses_neighbours(spark):
     sents = spark.createDataFrame(rows, "CORP string, SENT_ID long, TOKENS array<string>")
     features = taggers.context_features(sents)
     gold = F.when(F.col("FORM") != "run", "X").when(F.col("SENT_ID") % 2 == 1, "VERB").otherwise("NOUN")
-    model = taggers.train_context_tagger(features.withColumn("UNIV", gold), n_features=1 << 10)
+    model = taggers.train_context_tagger(features.withColumn("UNIV", gold))
     tagged = model.tag(features).withColumn("gold", gold)
     assert tagged.where("PRED_UNIV <> gold").isEmpty()
+    again = load_again(spark, model)
+    assert sorted(map(str, again.tag(features).collect())) == sorted(map(str, model.tag(features).collect()))
+
+
+def load_again(spark, model):
+    path = staged_path(spark, "context-tagger")
+    taggers.save_context_tagger(path, model)
+    return taggers.load_context_tagger(spark, path)
+
+
+def test_context_tagger_counts(spark):
+    """Scores by hand; a value that training lacks counts like any other unseen one."""
+    rows = [("A", i, t) for i, t in enumerate([["a", "b"], ["b", "a", "a"], ["C"], ["b"]])]
+    sents = spark.createDataFrame(rows, "CORP string, SENT_ID long, TOKENS array<string>")
+    features = taggers.context_features(sents)
+    gold = F.when(F.col("FORM") == "a", "NOUN").otherwise("VERB")
+    model = taggers.train_context_tagger(features.withColumn("UNIV", gold))
+    train = [(r.asDict(), "NOUN" if r["FORM"] == "a" else "VERB") for r in features.collect()]
+    new = spark.createDataFrame([("A", 9, ["zzz", "a", "b", "9"])], "CORP string, SENT_ID long, TOKENS array<string>")
+    for r in model.tag(taggers.context_features(new)).collect():
+        score = {}
+        for c in ("NOUN", "VERB"):
+            own = [f for f, k in train if k == c]
+            score[c] = math.log(len(own) / len(train))
+            for f in taggers.CONTEXT_FEATURES:
+                kinds = len({x[f] for x, _ in train})
+                score[c] += math.log((sum(x[f] == r[f] for x in own) + 0.1) / (len(own) + 0.1 * kinds))
+        assert r["PRED_UNIV"] == max(score, key=lambda c: (round(score[c], 9), c == "NOUN"))
+
+
+def test_lexicon_round_trip(spark):
+    counts = taggers.form_tag_counts(spark.createDataFrame([("a", "NN"), ("b", "ADV")], "FORM string, STTS string"))
+    path = staged_path(spark, "lexicon")
+    taggers.save_lexicon(path, taggers.train_lexicon(counts), taggers.train_suffixes(counts))
+    lexicon, suffixes = taggers.load_lexicon(spark, path, suffixes=True)
+    assert sorted(map(tuple, lexicon.collect())) == [("a", "NN"), ("b", "ADV")] == sorted(map(tuple, suffixes.collect()))
