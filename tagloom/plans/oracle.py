@@ -317,6 +317,23 @@ SELECT CASE WHEN grouping(embedding_model) = 0 THEN 'embedding_model' WHEN group
 FROM runs WHERE max_iter = -1
 GROUP BY GROUPING SETS ((train_size), (embedding_model), (scale), (C), (embedding_model, train_size),
                         (scale, train_size), (C, train_size))""", _RUNS)
+_sql("joined_records", """
+SELECT concat('m', coalesce(o_orderkey, l_orderkey)) AS model, o_orderkey IS NOT NULL AND l_returnflag IS NOT NULL AND l_returnflag <> 'R' AS complete,
+       CASE WHEN complete THEN l_tax END AS f1_weighted, CASE WHEN complete THEN l_extendedprice END AS train_time,
+       CASE WHEN complete THEN l_suppkey END AS train_size, CASE WHEN complete THEN l_partkey END AS test_size,
+       CASE WHEN complete THEN o_orderstatus END AS embedding_model, CASE WHEN complete THEN o_orderkey % 2 = 0 END AS lowercase
+FROM orders FULL JOIN (SELECT * FROM lineitem WHERE l_linenumber = 2) ON o_orderkey = l_orderkey""", None)
+_sql("latest_log_entries", """
+WITH e AS (SELECT concat('m', l_orderkey) AS model, l_linenumber % 3 AS kind, * FROM lineitem),
+t AS (SELECT * FROM e WHERE kind = 0 QUALIFY row_number() OVER (
+        PARTITION BY model ORDER BY l_shipdate DESC, l_partkey DESC, l_extendedprice DESC) = 1),
+g AS (SELECT * FROM e WHERE kind = 1 QUALIFY row_number() OVER (
+        PARTITION BY model ORDER BY l_shipdate DESC, l_partkey DESC, l_quantity DESC) = 1),
+s AS (SELECT * FROM e WHERE kind = 2 QUALIFY row_number() OVER (
+        PARTITION BY model ORDER BY l_shipdate DESC, l_suppkey DESC, l_discount DESC, l_tax DESC) = 1)
+SELECT s.model, t.l_extendedprice AS train_time, g.l_partkey AS test_size, g.l_quantity AS test_time, s.l_suppkey AS eval_size,
+       s.l_discount AS accuracy, s.l_tax AS precision
+FROM s JOIN g ON s.model = g.model LEFT JOIN t ON s.model = t.model WHERE s.l_shipdate >= g.l_shipdate""", None)
 _sql("limit_sweep", f"""
 SELECT CASE WHEN grouping(max_iter) = 0 THEN 'max_iter' ELSE 'train_size' END AS key,
        coalesce(CAST(max_iter AS VARCHAR), CAST(train_size AS VARCHAR)) AS value,
@@ -386,9 +403,12 @@ FROM (SELECT DISTINCT lower(FORM) AS f, true AS lowercase FROM tok
       UNION ALL SELECT DISTINCT FORM, false FROM tok),
      (VALUES ('sg'), ('cb')) a(arch), (VALUES (12), (25), (50), (100)) d(dim) GROUP BY arch, dim, lowercase""")
 _sql("vector_table_lookup", "SELECT FORM, CAST(len(vec) AS INTEGER) AS dim FROM emb", _EMB)
+_sql("saved_svm", "SELECT FORM, true AS same FROM emb", _EMB)
+_sql("saved_lexicon", """
+SELECT FORM AS key, STTS, 'form' AS kind FROM lex UNION ALL SELECT SUFFIX, STTS, 'suffix' FROM suf""", _LEX + _SUFFIX)
 _sql("svm_linear", """
 SELECT FORM, CAST(list_position(v, list_max(v)) - 1 AS INTEGER) AS code
-FROM (SELECT FORM, vec[1:4] AS v FROM emb) WHERE list_max(v) - list_sort(v)[3] > 0.02""", _EMB)
+FROM (SELECT FORM, vec[1:4] AS v FROM emb) WHERE list_max(v) - list_sort(v)[3] > 0.05""", _EMB)
 _sql("svm_rbf", """
 SELECT FORM, CASE WHEN r < 0.02 THEN 0 ELSE 1 END AS code
 FROM (SELECT FORM, vec[1] * vec[1] + vec[2] * vec[2] AS r FROM emb) WHERE abs(r - 0.02) > 0.004""", _EMB)
@@ -430,5 +450,5 @@ base AS (SELECT UNIV, ln(any_value(n) / (SELECT sum(n) FROM cls)) + sum(ln(0.1 /
 combo AS (SELECT row_number() OVER () AS id, * FROM (SELECT DISTINCT f1, f2, f3, f4, f5 FROM feat WHERE CORP = 'B')),
 gains AS (SELECT id, UNIV, sum(ln((n + 0.1) / 0.1)) AS s
           FROM (SELECT id, unnest([1, 2, 3, 4, 5]) AS f, unnest([f1, f2, f3, f4, f5]) AS v FROM combo) JOIN cells USING (f, v) GROUP BY 1, 2),
-scored AS (SELECT id, base.UNIV, code, round(b + coalesce(s, 0), 9) AS score
-           FROM combo CROSS JOIN base JOIN codes ON base.UNIV = codes.UNIV LEFT JOIN gains USING (id, UNIV))""" % ", ".join(f"('{k}', {v})" for k, v in UNIV_CODES.items()))
+scored AS (SELECT combo.id, base.UNIV, code, round(b + coalesce(s, 0), 9) AS score
+           FROM combo CROSS JOIN base JOIN codes ON base.UNIV = codes.UNIV LEFT JOIN gains ON gains.id = combo.id AND gains.UNIV = base.UNIV)""" % ", ".join(f"('{k}', {v})" for k, v in UNIV_CODES.items()))

@@ -511,6 +511,50 @@ def key_sweep(spark, sf):
     return swept.withColumns({f"mean_{c}": F.round(f"mean_{c}", 4) for c in RUN_SCORES})
 
 
+@query
+def joined_records(spark, sf):
+    """Orders in the role of configs, second line items in the role of metrics: complete runs and rejects."""
+    null = F.lit(None)
+    configs = tb.table(spark, sf, "orders").select(
+        F.concat(F.lit("m"), "o_orderkey").alias("model"), null.cast("string").alias("embedding"),
+        F.col("o_orderstatus").alias("architecture"), F.lit(25).alias("dimensionality"), (F.col("o_orderkey") % 2 == 0).alias("lowercase"),
+        F.lit(0).cast("long").alias("train_size"), F.lit(False).alias("shrinking"), F.lit(True).alias("scale"),
+        F.col("o_totalprice").cast("double").alias("C"), F.lit(-1).alias("max_iter"), F.lit("rbf").alias("kernel"),
+    )
+    scores = F.struct(
+        F.col("l_partkey").alias("eval_size"), F.col("l_discount").alias("accuracy"), F.col("l_tax").alias("precision"),
+        F.col("l_discount").alias("recall"), F.col("l_tax").alias("f1_weighted"),
+    )
+    run = F.struct(
+        F.col("l_partkey").alias("test_size"), F.col("l_quantity").alias("test_time"), F.when(F.col("l_returnflag") != "R", scores).alias(UNIV),
+    )
+    metrics = tb.table(spark, sf, "lineitem").where("l_linenumber = 2").select(
+        F.concat(F.lit("m"), "l_orderkey").alias("model"), F.col("l_suppkey").alias("train_size"),
+        F.col("l_extendedprice").alias("train_time"), run.alias("HDT"),
+    )
+    rows, rejects = lb.join_records(configs, metrics)
+    shown = ["model", "f1_weighted", "train_time", "train_size", "test_size", "embedding_model", "lowercase"]
+    return rows.select(*shown, F.lit(True).alias("complete")).unionByName(
+        rejects.select("model", F.lit(False).alias("complete")), allowMissingColumns=True
+    )
+
+
+@query
+def latest_log_entries(spark, sf):
+    """Line items in the role of log events: trainings, taggings and scores, the latest of each."""
+    items = tb.table(spark, sf, "lineitem")
+    kind = F.col("l_linenumber") % 3
+    only = lambda k, c: F.when(kind == k, c)
+    log = items.select(
+        F.concat(F.lit("m"), "l_orderkey").alias("model"), F.when(kind != 0, F.lit("HDT")).alias("corpus"),
+        only(2, F.lit(UNIV)).alias("tagset"), only(0, F.col("l_partkey")).alias("train_size"), only(0, F.col("l_extendedprice")).alias("train_time"),
+        only(1, F.col("l_partkey")).alias("test_size"), only(1, F.col("l_quantity")).alias("test_time"), only(2, F.col("l_suppkey")).alias("eval_size"),
+        *[only(2, F.col(c)).alias(name) for name, c in (("accuracy", "l_discount"), ("precision", "l_tax"), ("recall", "l_discount"), ("f1_weighted", "l_tax"))],
+        F.col("l_shipdate").cast("timestamp").alias("logged_at"),
+    )
+    return out_records.latest_records(log).select("model", "train_time", "test_size", "test_time", "eval_size", "accuracy", "precision")
+
+
 @query
 def limit_sweep(spark, sf):
     """The iteration limit as a key, over runs with and without one."""
@@ -719,7 +763,7 @@ def vector_table_lookup(spark, sf):
 _RULES = {
     # The largest of four coordinates.
     "linear": ("array_position(slice(vec, 1, 4), array_max(slice(vec, 1, 4))) - 1",
-               "array_max(slice(vec, 1, 4)) - sort_array(slice(vec, 1, 4))[2]", 0.02),
+               "array_max(slice(vec, 1, 4)) - sort_array(slice(vec, 1, 4))[2]", 0.05),
     # Inside or outside a ball.
     "rbf": ("IF(vec[0] * vec[0] + vec[1] * vec[1] < 0.02, 0, 1)", "abs(vec[0] * vec[0] + vec[1] * vec[1] - 0.02)", 0.004),
     # The sign of a product of three coordinates.
@@ -746,6 +790,32 @@ def svm_linear(spark, sf):
     return _kernel_run(spark, sf, "linear")
 
 
+@query
+def saved_svm(spark, sf):
+    """A machine that was saved and read again gives every vector the same class."""
+    rows = _vectors(spark, sf).select(
+        FORM, F.expr(_RULES["linear"][0]).cast("double").alias("label"), F.lit(1.0).alias("w"), as_doubles("vec").alias("vec")
+    )
+    tagger = svm.train_rows(rows, svm.SvmSettings("saved", kernel="rbf", scale=True, max_iter=20))
+    root = staged_path(spark, "models")
+    svm.save(tagger, root)
+    first = tagger.predict(rows.select(FORM, "vec")).select(FORM, "code")
+    again = svm.load(spark, root, "saved").predict(rows.select(FORM, "vec")).select(FORM, F.col("code").alias("again"))
+    return first.join(again, FORM).select(FORM, (F.col("code") == F.col("again")).alias("same"))
+
+
+@query
+def saved_lexicon(spark, sf):
+    """The lexicon and the suffixes of A as written and read again."""
+    counts = stage(_counts(spark, sf, "A"), "counts")
+    path = staged_path(spark, "lexicon")
+    taggers.save_lexicon(path, taggers.train_lexicon(counts), taggers.train_suffixes(counts))
+    words, suffixes = taggers.load_lexicon(spark, path, suffixes=True)
+    return words.select(F.col(FORM).alias("key"), STTS, F.lit("form").alias("kind")).union(
+        suffixes.select("SUFFIX", STTS, F.lit("suffix"))
+    )
+
+
 @query
 def svm_rbf(spark, sf):
     return _kernel_run(spark, sf, "rbf")

@@ -1,12 +1,18 @@
 """The stages of a tagging study as single calls."""
 
+import time
+
 from pyspark.sql import DataFrame
 
 from tagloom.functions.tags import universal_or_null
+from tagloom.learn import svm
 from tagloom.learn.taggers import form_tag_counts, tag_forms, train_lexicon, train_suffixes
 from tagloom.operators.ordering import head
 from tagloom.operators.scoring import aligned_cells, by_tagset, class_counts, class_metrics, score_summary
 from tagloom.schemas import GOLD_TAG, PRED_TAG, STTS, TOKEN_KEY, UNIV
+from tagloom.sinks.records import record_facts
+from tagloom.sources.tables import read_vectors
+from tagloom.staging import stage
 
 
 def lexicon_predictions(train: DataFrame, test: DataFrame, suffix_back_off=False) -> DataFrame:
@@ -51,3 +57,22 @@ def evaluate(pred: DataFrame, gold: DataFrame, tagset, key=TOKEN_KEY, cut_gold=F
         gold = head(gold, list(key), pred.count())
     counts = class_counts(aligned_cells(pred, gold, tagset, key), gold=GOLD_TAG, pred=PRED_TAG, weight="n")
     return class_metrics(counts), score_summary(counts)
+
+
+def run_study(spark, models_dir, model, corpus, tokens: DataFrame, gold: DataFrame, vectors_root, test_size=0, key=TOKEN_KEY):
+    """Tag a corpus with a saved model, score it, and record both in the model's metrics.
+
+    The vectors are those that the model's settings name below `vectors_root`. Returns the annotation.
+    """
+    tagger = svm.load(spark, models_dir, model)
+    s = tagger.settings
+    vectors = read_vectors(spark, vectors_root, s.architecture, s.dimensionality, s.lowercase)
+    began = time.time()
+    tagged = stage(svm.annotate(tagger, tokens, vectors, test_size, keys=list(key)), "annotation")
+    record_facts(spark, models_dir, model, corpus, test_size=test_size, test_time=time.time() - began)
+    row = evaluate(tagged, gold, UNIV, key, cut_gold=test_size > 0)[1].first()
+    record_facts(
+        spark, models_dir, model, corpus, UNIV, eval_size=row["test_size"],
+        **{c: row[c] for c in ("accuracy", "precision", "recall", "f1_weighted")},
+    )
+    return tagged

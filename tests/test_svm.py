@@ -104,3 +104,23 @@ def test_featureset_counts_equal_rows(study):
     tokens, vectors = study
     rows = ft.featureset(tokens, vectors, size=100, lowercase=True).collect()
     assert sum(r["w"] for r in rows) == 100 and len(rows) == len({(r["FORM"], r["UNIV"]) for r in rows})
+
+
+def test_study_leaves_joined_records(spark, study, tmp_path):
+    """Train, save, tag and score: the readers find one complete experiment."""
+    from tagloom.operators.leaderboard import join_records
+    from tagloom.plans.workflows import run_study
+    from tagloom.sinks.tables import write_vectors
+    from tagloom.sources.records import read_configs, read_metrics
+
+    tokens, vectors = study
+    tokens = tokens.withColumn("FORM", F.lower("FORM"))
+    write_vectors(vectors, str(tmp_path / "vectors"), "sg", 4, True)
+    models = str(tmp_path / "models")
+    svm.save(svm.train(tokens, vectors, svm.SvmSettings("pos", lowercase=True, scale=True, components=10)), models)
+    tagged = run_study(spark, models, "pos", "HDT", tokens, tokens, str(tmp_path / "vectors"))
+    assert tagged.count() == 1000
+    rows, rejects = join_records(read_configs(spark, models), read_metrics(spark, models))
+    row = rows.first()
+    assert (row["model"], row["embedding_model"], row["embedding_size"], row["accuracy"]) == ("pos", "sg", 4, 1.0)
+    assert row["train_time"] > 0 and row["test_time"] > 0 and rejects.isEmpty()
