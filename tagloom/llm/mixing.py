@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tagloom.staging import stage
+
 #: Rows behind one step of the running sum within a leaf.
 BUCKET_ROWS = 50_000
 LEAF = ["domain", "language", "source_name"]
@@ -98,6 +100,8 @@ def with_copies(
     plan = stats.join(
         leaf_budgets(stats.select(*LEAF, "tokens"), budget, epochs, domain_weights, language_weights), LEAF
     ).select(*LEAF, epoch.alias("whole"), (F.col("budget") - epoch * F.col("tokens")).alias("rest"))
+    # Leaves are few next to rows. Written once, they are broadcast while small; beyond that Spark can split hot leaves.
+    plan = stage(plan, "plan")
     # The order within a leaf: a hexadecimal digest, cut into as many buckets as the largest leaf asks for.
     place = F.concat(F.md5(F.concat_ws(":", F.lit(str(seed)), "whole", "id")), F.lit(":"), F.col("id"))
     digits = max(0, math.ceil(math.log(max(1, (largest or 0) / BUCKET_ROWS), 16)))
@@ -115,12 +119,12 @@ def with_copies(
     leaf_plan = leaf_plan.select(
         *[F.col(c).alias(f"_{c}") for c in LEAF], F.col("whole").alias("_whole"), F.col("last_bucket").alias("_bucket"), F.col("cut").alias("_cut"),
     )
+    leaf_plan = stage(leaf_plan, "leaves")
     keyed = docs.select(
         *[c for c in docs.columns if c not in names],
         domain.alias("domain"), _tokens().alias("n_tokens"), F.coalesce("lang", F.lit(NONE)).alias("_lang"),
         F.coalesce("source", F.lit(NONE)).alias("_source"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id"),
     )
-    # One row per leaf: Spark broadcasts it while it is small and splits hot leaves otherwise.
     met = keyed.join(leaf_plan, (F.col("domain") == F.col("_domain")) & (F.col("_lang") == F.col("_language")) & (F.col("_source") == F.col("_source_name")))
     own = F.concat(F.md5(F.concat_ws(":", F.lit(str(seed)), "_whole", "_id")), F.lit(":"), F.col("_id"))
     # Before the last bucket all rows are in; in it, those up to the cut.
