@@ -10,8 +10,8 @@ from tagloom.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TAGLOOM_TEST_DATA", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
-# Sixteen trainings; the parts of a grid have tests of their own.
-SLOW = {"vector_grid"}
+# Several trainings each; their parts have tests of their own.
+SLOW = {"vector_grid", "vector_checks"}
 
 
 @pytest.fixture(scope="module")
