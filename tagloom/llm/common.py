@@ -21,8 +21,12 @@ def steps(batches, column="text", most=STEP_BYTES):
                 yield batch.slice(first, i - first)
                 first, size = i, 0
             size += n
-        if batch.num_rows > first:
-            yield batch.slice(first)
+        rest, batch = batch.slice(first), None
+        if rest.num_rows:
+            # No reference stays here while the next batch is read.
+            last = [rest]
+            del rest
+            yield last.pop()
 
 
 def bucket_count(df: DataFrame, column="text") -> int:

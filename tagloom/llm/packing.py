@@ -6,6 +6,7 @@ then take the planned slots by their rank within their length.
 
 import zlib
 from array import array
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from tagloom.llm.common import steps
 from tagloom.staging import ship_package, stage
 
 #: Ids of so many text units stay in a Python worker's memory; beyond that it starts anew.
-CACHED_UNITS = 500_000
+CACHED_UNITS = 100_000
 CACHED_LENGTH = 48
 #: White space other than the space and the line feed.
 OTHER_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
@@ -40,8 +41,8 @@ class UnitEncoder(dict):
 
         from tokenizers import Tokenizer
 
-        self.full = Tokenizer.from_file(json_path)
-        self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        self.json_path = json_path
+        self.special = [t.content for t in Tokenizer.from_file(json_path).get_added_tokens_decoder().values()]
         self.plain = None
         if ranks_path:
             import public_tokenizers
@@ -53,6 +54,13 @@ class UnitEncoder(dict):
                 "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
             )
 
+    @cached_property
+    def full(self):
+        """The full tokenizer; a worker that meets only plain Latin text never holds it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.json_path)
+
     def ids(self, text):
         if self.plain and (text.isascii() or max(text) <= LATIN_END):
             found = self.plain.encode_ordinary(text)
@@ -118,6 +126,7 @@ def token_pieces(
                     at += length
                     piece += 1
             kinds = [rows.schema.field("doc_id").type, pa.int32(), *[pa.int64()] * 3, pa.int32(), pa.int64()]
+            rows = None  # frees the batch before the next one comes
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
