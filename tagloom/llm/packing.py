@@ -19,7 +19,7 @@ from tagloom.llm.common import steps
 from tagloom.staging import ship_package, stage
 
 #: Ids of so many text units stay in a Python worker's memory; beyond that it starts anew.
-CACHED_UNITS = 100_000
+CACHED_UNITS = 250_000
 CACHED_LENGTH = 48
 #: White space other than the space and the line feed.
 OTHER_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
