@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tagloom.llm import language_id, line_dedup, mixing, packing, quality, simhash, substring_dedup, token_count, toxicity, vector_search
+from tagloom.llm import fill_in_middle, language_id, line_dedup, minmax_dedup, mixing, packing, periodic_runs, quality, simhash, substring_dedup, token_count, toxicity, vector_search
 from tagloom.plans.testbed import table
 
 #: Pruning factor of the registered search; the tests measure its recall.
@@ -73,5 +73,35 @@ def op10_nearest_neighbours(spark, sf_dir):
     return vector_search.nearest(table(spark, sf_dir, "embeddings"), relax=RELAX)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_token_count, op4_toxicity, op5_best_fit_packing, op6_mixing, op7_line_dedup, op8_quality_rules, op9_language_id, page_language, op10_nearest_neighbours)}
-ORACLE = {"op6_mixing": mixing.sql(), "op7_line_dedup": line_dedup.SQL, "op8_quality_rules": quality.sql()}
+def op11_minmax_dedup(spark, sf_dir):
+    """Component of every document under a shingle similarity of 0.85."""
+    found = minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    """Lengths and digests of every document's rewritten text and of the text rebuilt from it."""
+    written = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    rebuilt = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return written.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(rebuilt, 256).alias("restored_sha256"),
+    )
+
+
+def op13_periodic_runs(spark, sf_dir):
+    """Periodic runs of every document; every tenth is made to repeat itself first."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", periodic_runs.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic_runs.digests(periodic_runs.find_runs(docs))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op2_simhash, op3_token_count, op4_toxicity, op5_best_fit_packing, op6_mixing,
+    op7_line_dedup, op8_quality_rules, op9_language_id, page_language, op10_nearest_neighbours,
+    op11_minmax_dedup, op12_fill_in_middle, op13_periodic_runs,
+)}
+ORACLE = {
+    "op6_mixing": mixing.sql(), "op7_line_dedup": line_dedup.SQL, "op8_quality_rules": quality.sql(),
+    "op12_fill_in_middle": fill_in_middle.SQL,
+}
