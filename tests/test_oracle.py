@@ -10,8 +10,8 @@ from tagloom.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TAGLOOM_TEST_DATA", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
-# Several trainings each; their parts have tests of their own.
-SLOW = {"vector_grid", "vector_checks"}
+# Several trainings each; their parts have tests of their own, and the whole grid runs in test_sampling.
+SLOW = {"vector_grid", "vector_checks", "held_out_likelihood"}
 
 
 @pytest.fixture(scope="module")

@@ -97,7 +97,7 @@ def test_shifted_ppmi(sents):
     assert got == pytest.approx(want)
 
 
-@pytest.mark.parametrize("arch,engine", [("sg", "factor"), ("cb", "factor"), ("sg", "ml")])
+@pytest.mark.parametrize("arch,engine", [("sg", "sampled"), ("cb", "sampled"), ("sg", "factor"), ("cb", "factor"), ("sg", "ml")])
 def test_vectors_separate_topics(topics, arch, engine):
     settings = wv.Settings(dim=4, epochs=4, alpha=0.1, negative=2)
     rows = wv.train(topics, arch, settings, engine, partitions=2).collect()
@@ -133,7 +133,7 @@ def test_singular_vectors(spark, topics, monkeypatch, block_forms):
 
 
 def test_architectures_differ(topics):
-    sg, cb = ({r["FORM"]: r["vec"] for r in wv.train(topics, a, wv.Settings(dim=4, negative=1)).collect()} for a in ("sg", "cb"))
+    sg, cb = ({r["FORM"]: r["vec"] for r in wv.train(topics, a, wv.Settings(dim=4, negative=1), "factor").collect()} for a in ("sg", "cb"))
     assert max(abs(x - y) for f in sg for x, y in zip(sg[f], cb[f])) > 1e-3
 
 
