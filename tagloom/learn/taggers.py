@@ -4,8 +4,11 @@ import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,6 +132,21 @@ def context_features(sents: DataFrame, key=(CORP, SENT_ID)) -> DataFrame:
     return sents.select(*key, F.inline(entries))
 
 
+def _feature_sums(features, weights, base, classes):
+    """(rows, score column): features with what their values add to `base`, an array with one number per class."""
+    score, scored = base, features
+    for feature in CONTEXT_FEATURES:
+        table = weights.where(F.col("feature") == feature)
+        hot = hot_keys(table, "value")
+        table = table.select(F.col("value").alias(feature), F.col("w").alias(f"_{feature}"))
+        # Rows of a hot value are spread by the rest of the row.
+        others = [c for c in features.columns if c != feature]
+        scored = salted_join(scored, table, feature, hot, others)
+        none = F.array_repeat(F.lit(0).cast(weights.schema["w"].dataType.elementType), classes)
+        score = F.zip_with(score, F.coalesce(f"_{feature}", none), lambda a, b: a + b)
+    return scored, score
+
+
 @dataclass
 class ContextTagger:
     """Naive Bayes over exact feature values.
@@ -143,17 +161,7 @@ class ContextTagger:
 
     def tag(self, features: DataFrame) -> DataFrame:
         """Add PRED_UNIV: the class with the highest score, rounded to nine places; ties go to the first class."""
-        score = F.array(*[F.lit(float(x)) for x in self.base])
-        scored = features
-        for feature in CONTEXT_FEATURES:
-            table = self.weights.where(F.col("feature") == feature)
-            hot = hot_keys(table, "value")
-            table = table.select(F.col("value").alias(feature), F.col("w").alias(f"_{feature}"))
-            # Rows of a hot value are spread by the rest of the row.
-            others = [c for c in features.columns if c != feature]
-            scored = salted_join(scored, table, feature, hot, others)
-            added = F.coalesce(f"_{feature}", F.array_repeat(F.lit(0.0), len(self.classes)))
-            score = F.zip_with(score, added, lambda a, b: a + b)
+        scored, score = _feature_sums(features, self.weights, F.array(*[F.lit(float(x)) for x in self.base]), len(self.classes))
         rounded = F.transform(score, lambda x: F.round(x, 9))
         names = F.array(*[F.lit(c) for c in self.classes])
         best = scored.select(*features.columns, F.explode(F.array(rounded)).alias("_s"))
@@ -184,6 +192,105 @@ def train_context_tagger(features: DataFrame, tag=UNIV, smoothing=0.1) -> Contex
     return ContextTagger(classes, base, weights)
 
 
+# --- tagger with tag history -----------------------------------------------------------------
+
+#: Logarithms are kept as whole millionths, so that sums are exact in any order and ties are real.
+HISTORY_UNIT = 1_000_000
+
+
+def _whole(x):
+    return F.round(x * F.lit(float(HISTORY_UNIT))).cast("long")
+
+
+@dataclass
+class HistoryTagger:
+    """A context tagger that also sees the tag before: the best sequence of tags for each sentence (Viterbi).
+
+    steps: for the sentence's edge and then each class, what a class after it gains over its own
+    frequency, in millionths.
+    """
+
+    context: ContextTagger
+    steps: list
+
+    def tag(self, features: DataFrame, key=(CORP, SENT_ID)) -> DataFrame:
+        """Add PRED_UNIV to every token; of equal sequences the one with the first classes from the end wins.
+
+        Scores of a sentence's tokens meet in its row, which is decoded as a whole; short sentences side by side.
+        """
+        key, classes = list(key), self.context.classes
+        ship_package(features.sparkSession)
+        base = F.array(*[F.lit(round(x * HISTORY_UNIT)).cast("long") for x in self.context.base])
+        weights = self.context.weights.select("feature", "value", "n", F.transform("w", _whole).alias("w"))
+        scored, score = _feature_sums(features, weights, base, len(classes))
+        rest = [c for c in features.columns if c not in key]
+        entry = F.struct(TOKN_ID, F.struct(*rest).alias("rest"), score.alias("score"))
+        rows = scored.groupBy(*key).agg(F.array_sort(F.collect_list(entry), lambda a, b: a[TOKN_ID] - b[TOKN_ID]).alias("_t"))
+        rows = rows.select(*key, F.col("_t.rest").alias("_rest"), F.col("_t.score").alias("_scores"))
+        steps = self.steps
+
+        def run(batches):
+            for batch in batches:
+                codes = best_sequences(batch.column("_scores"), np.array(steps, np.int64))
+                kept = batch.drop_columns(["_scores"])
+                yield pa.RecordBatch.from_arrays([*kept.columns, codes], [*kept.schema.names, "_codes"])
+
+        schema = T.StructType([f for f in rows.schema.fields if f.name != "_scores"] + [T.StructField("_codes", T.ArrayType(T.IntegerType()))])
+        decoded = rows.mapInArrow(run, schema).select(*key, F.inline(F.arrays_zip("_rest", "_codes")))
+        names = F.array(*[F.lit(c) for c in classes])
+        return decoded.select(*key, "_rest.*", F.get(names, F.col("_codes")).alias(f"PRED_{UNIV}"))
+
+
+def best_sequences(scores, steps):
+    """Codes of the best sequence of each row of a list<list<long>> column of class scores.
+
+    steps: (1 + classes) x classes; line 0 is for the first place of a row. All rows advance together,
+    the longest first, so a place costs one array operation for all rows that reach it.
+    """
+    lengths = pc.list_value_length(scores).to_numpy(zero_copy_only=False).astype(np.int64)
+    classes = steps.shape[1]
+    own = scores.flatten().flatten().to_numpy().reshape(-1, classes)
+    start = np.cumsum(lengths) - lengths
+    order = np.argsort(-lengths, kind="stable")
+    begin, size = start[order], lengths[order]
+    before = np.zeros(own.shape, np.int8)
+    codes = np.zeros(len(own), np.int32)
+    alive = np.searchsorted(-size, -np.arange(1, int(size.max(initial=0)) + 1), side="right")
+    best = own[begin[: alive[0]]] + steps[0] if len(alive) else None
+    for place in range(len(alive)):
+        n = alive[place]
+        if place:
+            met = best[:n, :, None] + steps[1:]
+            before[begin[:n] + place] = met.argmax(axis=1)
+            best[:n] = met.max(axis=1) + own[begin[:n] + place]
+    # Rows that end keep their last scores: they are behind those that go on.
+    if len(alive):
+        last = best.argmax(axis=1)
+        for place in range(len(alive) - 1, -1, -1):
+            n = alive[place]
+            codes[begin[:n] + place] = last[:n]
+            last[:n] = before[begin[:n] + place, last[:n]]
+    return pa.ListArray.from_arrays(pa.array(np.append(start, len(own)), pa.int32()), pa.array(codes))
+
+
+def train_history_tagger(features: DataFrame, key=(CORP, SENT_ID), tag=UNIV, smoothing=0.1) -> HistoryTagger:
+    """Count features as the context tagger does, and pairs of neighbouring tags."""
+    context = train_context_tagger(features, tag, smoothing)
+    before = F.lag(tag).over(Window.partitionBy(*key).orderBy(TOKN_ID))
+    pairs = features.select(before.alias("a"), F.col(tag).alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    counts = {(r["a"], r["b"]): r["n"] for r in pairs.collect()}  # at most one per pair of classes
+    total = sum(counts.values())
+    steps = []
+    for a in (None, *context.classes):
+        row = sum(counts.get((a, b), 0) for b in context.classes)
+        line = []
+        for b in context.classes:
+            share = sum(counts.get((x, b), 0) for x in (None, *context.classes)) / total
+            line.append(round(HISTORY_UNIT * (math.log((counts.get((a, b), 0) + smoothing) / (row + smoothing * len(context.classes))) - math.log(share))))
+        steps.append(line)
+    return HistoryTagger(context, steps)
+
+
 # --- saving -----------------------------------------------------------------------------------
 
 
@@ -205,6 +312,15 @@ def save_context_tagger(path, tagger: ContextTagger):
     write_record(spark, {"classes": tagger.classes, "base": tagger.base}, f"{path}/base.record")
 
 
+def save_history_tagger(path, tagger: HistoryTagger):
+    save_context_tagger(path, tagger.context)
+    write_record(tagger.context.weights.sparkSession, {"steps": tagger.steps}, f"{path}/steps.record")
+
+
+def load_history_tagger(spark, path) -> HistoryTagger:
+    return HistoryTagger(load_context_tagger(spark, path), read_record(spark, f"{path}/steps.record")["steps"])
+
+
 def load_context_tagger(spark, path) -> ContextTagger:
     record = read_record(spark, f"{path}/base.record")
     return ContextTagger(record["classes"], record["base"], spark.read.parquet(f"{path}/weights"))

@@ -465,3 +465,43 @@ gains AS (SELECT id, UNIV, sum(ln((n + 0.1) / 0.1)) AS s
           FROM (SELECT id, unnest([1, 2, 3, 4, 5]) AS f, unnest([f1, f2, f3, f4, f5]) AS v FROM combo) JOIN cells USING (f, v) GROUP BY 1, 2),
 scored AS (SELECT combo.id, base.UNIV, code, round(b + coalesce(s, 0), 9) AS score
            FROM combo CROSS JOIN base JOIN codes ON base.UNIV = codes.UNIV LEFT JOIN gains ON gains.id = combo.id AND gains.UNIV = base.UNIV)""" % ", ".join(f"('{k}', {v})" for k, v in UNIV_CODES.items()))
+_sql("history_tagger", """
+SELECT CORP, D, PRED_UNIV, count(*) AS n, count(*) FILTER (PRED_UNIV = UNIV) AS hits
+FROM numbered JOIN (SELECT sid, pos, UNIV AS PRED_UNIV FROM path JOIN ranked USING (code)) USING (sid, pos) GROUP BY 1, 2, 3""", "RECURSIVE " + _GOLD.strip() + """,
+codes(UNIV, code) AS (VALUES %s),
+feat AS MATERIALIZED (SELECT *, lower(FORM) AS f1, right(FORM, 3) AS f2,
+                regexp_replace(regexp_replace(regexp_replace(FORM, '\\p{Lu}+', 'X', 'g'), '\\p{Ll}+', 'x', 'g'), '[0-9]+', 'd', 'g') AS f3,
+                coalesce(lag(lower(FORM)) OVER s, '<edge>') AS f4, coalesce(lead(lower(FORM)) OVER s, '<edge>') AS f5, lag(UNIV) OVER s AS before
+         FROM gold WINDOW s AS (PARTITION BY CORP, D, E, LINE ORDER BY TOKN_ID)),
+cls AS (SELECT UNIV, count(*) AS n FROM feat WHERE CORP = 'A' GROUP BY 1),
+ranked AS MATERIALIZED (SELECT UNIV, n, CAST(row_number() OVER (ORDER BY codes.code) - 1 AS BIGINT) AS code FROM cls JOIN codes USING (UNIV)),
+cells AS (SELECT f, v, UNIV, count(*) AS n FROM (
+            SELECT UNIV, unnest([1, 2, 3, 4, 5]) AS f, unnest([f1, f2, f3, f4, f5]) AS v FROM feat WHERE CORP = 'A') GROUP BY 1, 2, 3),
+kinds AS (SELECT f, count(DISTINCT v) AS k FROM cells GROUP BY 1),
+base AS (SELECT UNIV, CAST(round(1e6 * (ln(any_value(n) / (SELECT sum(n) FROM cls)) + sum(ln(0.1 / (n + 0.1 * k))))) AS BIGINT) AS b FROM cls, kinds GROUP BY 1),
+combo AS MATERIALIZED (SELECT row_number() OVER () AS id, * FROM (SELECT DISTINCT f1, f2, f3, f4, f5 FROM feat WHERE CORP = 'B')),
+gains AS (SELECT id, UNIV, sum(CAST(round(1e6 * ln((n + 0.1) / 0.1)) AS BIGINT)) AS s
+          FROM (SELECT id, unnest([1, 2, 3, 4, 5]) AS f, unnest([f1, f2, f3, f4, f5]) AS v FROM combo) JOIN cells USING (f, v) GROUP BY 1, 2),
+scored AS (SELECT combo.id, list(CAST(b + coalesce(s, 0) AS BIGINT) ORDER BY code) AS own
+           FROM combo CROSS JOIN base JOIN ranked ON base.UNIV = ranked.UNIV LEFT JOIN gains ON gains.id = combo.id AND gains.UNIV = base.UNIV GROUP BY 1),
+numbered AS MATERIALIZED (SELECT CORP, D, UNIV, f1, f2, f3, f4, f5, dense_rank() OVER (ORDER BY D, E, LINE) AS sid,
+             row_number() OVER (PARTITION BY D, E, LINE ORDER BY TOKN_ID) AS pos FROM feat WHERE CORP = 'B'),
+emitted AS MATERIALIZED (SELECT sid, pos, own FROM numbered JOIN combo USING (f1, f2, f3, f4, f5) JOIN scored USING (id)),
+pairs AS (SELECT before, UNIV, count(*) AS n FROM feat WHERE CORP = 'A' GROUP BY 1, 2),
+steps AS MATERIALIZED (SELECT a.code AS prev, b.code, CAST(round(1e6 * (ln((coalesce(p.n, 0) + 0.1) / (a.n + 0.1 * (SELECT count(*) FROM ranked))) - ln(b.n / (SELECT sum(n) FROM ranked)))) AS BIGINT) AS gain
+  FROM (SELECT code, r.UNIV, (SELECT coalesce(sum(n), 0) FROM pairs WHERE before = r.UNIV) AS n FROM ranked r
+        UNION ALL SELECT -1, NULL, (SELECT sum(n) FROM pairs WHERE before IS NULL)) a
+  CROSS JOIN ranked b LEFT JOIN pairs p ON p.before IS NOT DISTINCT FROM a.UNIV AND p.UNIV = b.UNIV),
+fwd(sid, pos, code, x) AS (
+  SELECT sid, pos, code, (own[code + 1] + gain) * 16 FROM emitted, steps WHERE pos = 1 AND prev = -1
+  UNION ALL
+  SELECT sid, pos, code, max(y) + any_value(own[code + 1]) * 16 FROM (
+    SELECT e.sid, e.pos, s.code, e.own, ((f.x - (f.x %% 16 + 16) %% 16) + s.gain * 16) + 15 - f.code AS y
+    FROM fwd f JOIN emitted e ON e.sid = f.sid AND e.pos = f.pos + 1 JOIN steps s ON s.prev = f.code) GROUP BY 1, 2, 3),
+ends AS (SELECT sid, pos, arg_max(code, (x - (x %% 16 + 16) %% 16) + 15 - code) AS code FROM fwd
+  JOIN (SELECT sid, max(pos) AS pos FROM numbered GROUP BY 1) USING (sid, pos) GROUP BY 1, 2),
+path(sid, pos, code) AS (
+  SELECT sid, pos, code FROM ends
+  UNION ALL
+  SELECT p.sid, p.pos - 1, 15 - (f.x %% 16 + 16) %% 16 FROM path p JOIN fwd f ON f.sid = p.sid AND f.pos = p.pos AND f.code = p.code WHERE p.pos > 1)""" % ", ".join(f"('{k}', {v})" for k, v in UNIV_CODES.items()))
+

@@ -881,3 +881,16 @@ def context_tagger(spark, sf):
     return tagged.groupBy(CORP, "D", "PRED_UNIV").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("PRED_UNIV") == F.col(UNIV)).alias("hits")
     )
+
+
+@query
+def history_tagger(spark, sf):
+    """The best tag sequence of every sentence of B: context features and the tag before, trained on A."""
+    key = (CORP, *tb.SENTENCE)
+    model = taggers.train_history_tagger(_tagged_features(spark, sf, "A"), key)
+    path = staged_path(spark, "history")
+    taggers.save_history_tagger(path, model)
+    tagged = taggers.load_history_tagger(spark, path).tag(_tagged_features(spark, sf, "B"), key)
+    return tagged.groupBy(CORP, "D", "PRED_UNIV").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("PRED_UNIV") == F.col(UNIV)).alias("hits")
+    )

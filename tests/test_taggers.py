@@ -1,5 +1,8 @@
+import itertools
 import math
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +104,33 @@ def test_lexicon_round_trip(spark):
     taggers.save_lexicon(path, taggers.train_lexicon(counts), taggers.train_suffixes(counts))
     lexicon, suffixes = taggers.load_lexicon(spark, path, suffixes=True)
     assert sorted(map(tuple, lexicon.collect())) == [("a", "NN"), ("b", "ADV")] == sorted(map(tuple, suffixes.collect()))
+
+
+def test_best_sequences_against_all_sequences():
+    """Every sequence is tried; of equal ones the first classes from the end win, as each place prefers them."""
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        rows = [rng.integers(-3, 3, (n, 3)).tolist() for n in (0, 1, 4, 2, 5, 1)]
+        steps = rng.integers(-3, 3, (4, 3))
+        got = taggers.best_sequences(pa.array(rows, pa.list_(pa.list_(pa.int64()))), steps).to_pylist()
+        for own, codes in zip(rows, got):
+            def total(seq):
+                return sum(own[i][c] + steps[0 if i == 0 else seq[i - 1] + 1][c] for i, c in enumerate(seq))
+
+            want = min(itertools.product(range(3), repeat=len(own)), key=lambda seq: (-total(seq), seq[::-1]))
+            assert tuple(codes) == want
+
+
+def test_history_sees_the_tag_before(spark, tmp_path):
+    """One word has two tags that only the tag before tells apart; the words around it are new in the test."""
+    train = [("x", "DET"), ("run", "NOUN"), ("y", "PRON"), ("run", "VERB")]
+    rows = [("A", s, i + 1, w if w == "run" else f"{w}{s % 7}", t) for s in range(60) for i, (w, t) in enumerate(train[2 * (s % 2): 2 * (s % 2) + 2])]
+    tokens = spark.createDataFrame(rows, "CORP string, SENT_ID int, TOKN_ID int, FORM string, UNIV string")
+    sents = tokens.groupBy("CORP", "SENT_ID").agg(F.array_sort(F.collect_list(F.struct("TOKN_ID", "FORM"))).alias("e")).select(
+        "CORP", "SENT_ID", F.col("e.FORM").alias("TOKENS"))
+    features = taggers.context_features(sents).join(tokens, ["CORP", "SENT_ID", "TOKN_ID", "FORM"])
+    taggers.save_history_tagger(str(tmp_path / "h"), taggers.train_history_tagger(features))
+    model = taggers.load_history_tagger(spark, str(tmp_path / "h"))
+    tagged = model.tag(features).collect()
+    assert len(tagged) == len(rows) and all(r["PRED_UNIV"] == r["UNIV"] for r in tagged)
+    assert model.tag(features.limit(0)).count() == 0
