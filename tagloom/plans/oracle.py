@@ -505,3 +505,21 @@ path(sid, pos, code) AS (
   UNION ALL
   SELECT p.sid, p.pos - 1, 15 - (f.x %% 16 + 16) %% 16 FROM path p JOIN fwd f ON f.sid = p.sid AND f.pos = p.pos AND f.code = p.code WHERE p.pos > 1)""" % ", ".join(f"('{k}', {v})" for k, v in UNIV_CODES.items()))
 
+
+_sql("positional_alignment", """
+SELECT CORP, count(p.pos) AS n_pred, count(g.pos) AS n_gold, count(*) FILTER (p.pos IS NULL) AS missing_pred, count(*) FILTER (g.pos IS NULL) AS missing_gold,
+       count(*) FILTER (p.FORM <> g.FORM) AS text_mismatch,
+       min(pos) FILTER (p.pos IS NULL OR g.pos IS NULL OR p.FORM <> g.FORM) AS first_difference
+FROM (SELECT CORP, FORM, row_number() OVER (PARTITION BY CORP ORDER BY D, E, LINE, TOKN_ID, copy) AS pos FROM pred) p
+FULL JOIN (SELECT CORP, FORM, row_number() OVER (PARTITION BY CORP ORDER BY D, E, LINE, TOKN_ID) AS pos FROM tok) g USING (CORP, pos) GROUP BY 1""", _LINES + """,
+pred AS (SELECT CORP, D, E, LINE, TOKN_ID, CASE WHEN D % 30 = 5 AND TOKN_ID = 1 THEN FORM || '~' ELSE FORM END AS FORM,
+           unnest(CASE WHEN D % 40 = 9 AND LINE = 1 AND TOKN_ID = 2 THEN [0, 1] ELSE [0] END) AS copy
+         FROM tok WHERE NOT (D % 50 = 7 AND LINE = 1 AND TOKN_ID = 3))""")
+_sql("record_files", """
+WITH o AS (SELECT *, replace(substr(o_orderpriority, 3), ' ', '_') AS model, o_orderkey % 3 AS kind FROM orders),
+latest AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY model, kind ORDER BY CAST(o_orderdate AS TIMESTAMP) DESC, o_orderkey DESC) = 1),
+wide AS (SELECT s.model, t.o_custkey AS train_size, CAST(t.o_totalprice AS DOUBLE) AS train_time, r.o_custkey AS test_size, round(CAST(s.o_totalprice AS DOUBLE) / 1e6, 9) AS accuracy,
+           s.model NOT LIKE 'L%' AND CAST(s.o_orderdate AS TIMESTAMP) >= CAST(r.o_orderdate AS TIMESTAMP) AS complete
+         FROM (SELECT * FROM latest WHERE kind = 2) s JOIN (SELECT * FROM latest WHERE kind = 0) t USING (model) JOIN (SELECT * FROM latest WHERE kind = 1) r USING (model))
+SELECT model, CASE WHEN complete THEN train_size END AS train_size, CASE WHEN complete THEN train_time END AS train_time,
+  CASE WHEN complete THEN test_size END AS test_size, CASE WHEN complete THEN accuracy END AS accuracy, CASE WHEN complete THEN 1000.0::DOUBLE END AS C, complete FROM wide""", None)

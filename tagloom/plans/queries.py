@@ -1,6 +1,6 @@
 """Registered queries: every operator over the given tables, whole tables and whole texts."""
 
-from dataclasses import replace
+from dataclasses import asdict, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from tagloom.schemas import (
 from tagloom.sinks import records as out_records
 from tagloom.sinks import tables as out
 from tagloom.sources import conll
+from tagloom.sources import records as in_records
 from tagloom.sources import tables as src
 from tagloom.staging import stage, staged_path
 
@@ -894,3 +895,50 @@ def history_tagger(spark, sf):
     return tagged.groupBy(CORP, "D", "PRED_UNIV").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("PRED_UNIV") == F.col(UNIV)).alias("hits")
     )
+
+
+def _planted(spark, sf):
+    """A tagger's output without the gold table's key: of every corpus some rows are lost, doubled or changed."""
+    gold = tb.gold(spark, sf).select(*tb.KEY, FORM, STTS)
+    lost = (F.col("D") % 50 == 7) & (F.col("LINE") == 1) & (F.col(TOKN_ID) == 3)
+    doubled = (F.col("D") % 40 == 9) & (F.col("LINE") == 1) & (F.col(TOKN_ID) == 2)
+    changed = (F.col("D") % 30 == 5) & (F.col(TOKN_ID) == 1)
+    pred = gold.where(~lost).withColumn(FORM, F.when(changed, F.concat(FORM, F.lit("~"))).otherwise(F.col(FORM)))
+    return pred.withColumn("copy", F.explode(F.when(doubled, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))), gold
+
+
+@query
+def positional_alignment(spark, sf):
+    """Two tables side by side by position: how many positions differ, and the first."""
+    pred, gold = _planted(spark, sf)
+    return sc.position_report(sc.zipped(pred, gold, STTS, [*tb.KEY, "copy"], tb.KEY, [CORP]), [CORP])
+
+
+@query
+def record_files(spark, sf):
+    """Config files and a version log, one model per order priority: complete experiments from files, and rejects."""
+    root = staged_path(spark, "models")
+    orders = tb.table(spark, sf, "orders").withColumn("model", F.regexp_replace(F.substring("o_orderpriority", 3, 20), " ", "_"))
+    for model in sorted(r[0] for r in orders.select("model").distinct().collect()):  # five by definition
+        if not model.startswith("L"):
+            settings = asdict(svm.SvmSettings(model, C=1000.0))
+            out_records.write_record(spark, settings, f"{root}/{model}/{model}.config")
+
+    def versions(kind, corpus, tagset, *facts):
+        rows = orders.where(F.col("o_orderkey") % 3 == kind)
+        return rows.select(
+            "model", F.lit(corpus).cast("string").alias("corpus"), F.lit(tagset).cast("string").alias("tagset"),
+            F.to_json(F.struct(*[F.expr(x) for x in facts])).alias("facts"), F.col("o_orderdate").cast("timestamp").alias("at"),
+            F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("id"),
+        )
+
+    log = versions(0, None, None, "o_custkey AS train_size", "o_totalprice AS train_time").unionByName(
+        versions(1, "HDT", None, "o_custkey AS test_size", "o_totalprice AS test_time")
+    )
+    scores = versions(2, "HDT", UNIV, "o_custkey AS eval_size", "o_totalprice / 1e6 AS accuracy", "0.5D AS precision", "0.25D AS recall", "0.75D AS f1_weighted")
+    out_records.append_versions(log, root)
+    out_records.append_versions(scores, root)
+    out_records.compact_versions(spark, root)
+    rows, rejects = lb.join_records(in_records.read_configs(spark, root), in_records.read_metrics(spark, root))
+    done = rows.select("model", "train_size", "train_time", "test_size", F.round("accuracy", 9).alias("accuracy"), "C", F.lit(True).alias("complete"))
+    return done.unionByName(rejects.select("model", F.lit(False).alias("complete")), allowMissingColumns=True)

@@ -53,6 +53,14 @@ METRICS_RECORD = T.StructType([
     T.StructField("train_time", T.DoubleType()),
     *[T.StructField(c, _CORPUS_RUN) for c in CORPORA],
 ])
+VERSIONS = T.StructType([
+    T.StructField("model", T.StringType()),
+    T.StructField("corpus", T.StringType()),
+    T.StructField("tagset", T.StringType()),
+    T.StructField("facts", T.StringType()),
+    T.StructField("at", T.TimestampType()),
+    T.StructField("id", T.StringType()),
+])
 CONFIG_RECORD = T.StructType([
     T.StructField("model", T.StringType()),
     T.StructField("embedding", T.StringType()),

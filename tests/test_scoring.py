@@ -105,3 +105,17 @@ def test_tagsets(spark):
     assert len(missing) == 52 and "PAV" in missing
     assert [tuple(r) for r in tagset.reduced_mapping(df).collect()] == [("ADJA", "A"), ("NN", "NX")]
     assert pd.DataFrame(tagset.tag_counts(df, "STTS").collect())[1].sum() == 6
+
+
+def test_positions(spark):
+    """A lost row moves everything behind it; the first difference is where it was."""
+    gold = spark.createDataFrame([("A", i, f"w{i}", "N") for i in range(50)] + [("B", i, "x", "V") for i in range(5)], "CORP string, k int, FORM string, STTS string")
+    pred = gold.where("not (CORP = 'A' and k = 20)").withColumn("k", F.col("k") * 3)
+    report = {r["CORP"]: r for r in scoring.position_report(scoring.zipped(pred.repartition(4), gold.repartition(3), "STTS", ["k"], ["k"], ["CORP"]), ["CORP"]).collect()}
+    assert report["A"]["first_difference"] == 21 and report["A"]["missing_pred"] == 1 and report["A"]["text_mismatch"] == 29
+    assert report["B"]["first_difference"] is None and report["B"]["n_pred"] == report["B"]["n_gold"] == 5
+    with pytest.raises(scoring.Misaligned, match="21"):
+        scoring.zipped_or_raise(pred, gold, "STTS", ["k"], ["k"], ["CORP"])
+    same = scoring.zipped_or_raise(gold, gold, "STTS", ["k"], ["k"], ["CORP"])
+    assert same.where("PRED_TXT = GOLD_TXT and PRED_TAG = GOLD_TAG").count() == 55
+    assert scoring.position_report(scoring.zipped(gold.limit(0), gold.limit(0), "STTS", ["k"], ["k"])).first()["n_pred"] == 0
