@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,6 +41,32 @@ def test_sentence_ids_match_shift_and_cumsum(rows):
         assert (got[c] == want[c]).all(), c
 
 
+def test_sentence_ids_move_rows_once(rows):
+    """One range exchange before the pass; behind it only the summary of the ranges is joined."""
+    _, df = rows
+    result = ordering.sentence_ids(df, ["CORP", "D", "POS"])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("size", [1, 7, 10_000])
+def test_carry_over_batches(size):
+    """State crosses batches and ends with its cell; a null token is no boundary and none is compared with it."""
+    rng = np.random.default_rng(size)
+    cell = np.sort(rng.integers(0, 6, 200))
+    token = [None if rng.random() < 0.05 else int(rng.integers(1, 5)) for _ in cell]
+    table = pa.table({"c": pa.array([None if c == 3 else f"u{c}" for c in cell]), "TOKN_ID": pa.array(token, pa.int32())})
+    got = pa.Table.from_batches(list(ordering._carry(["c"])(iter(table.to_batches(max_chunksize=size))))).to_pylist()
+    prev, seen, nth = None, 0, 0
+    for i, row in enumerate(got):
+        # A cell without a name ends with every row: names are never null.
+        same = i and cell[i] == cell[i - 1] and (cell[i] != 3 or i % size == 0)
+        prev, seen, nth = (token[i - 1], seen, nth) if same else (None, 0, 0)
+        seen += prev is not None and token[i] is not None and token[i] <= prev
+        nth += 1
+        assert (row["_prev"], row["_seen"], row["_nth"]) == (prev, seen, nth)
+
+
 def test_hot_document_is_cut_into_ranges(rows):
     _, df = rows
     units = ordering.range_ordered(df, ["CORP", "D", "POS"]).groupBy("_unit").count().toPandas()
@@ -56,12 +83,11 @@ def test_number_rows(rows):
     assert all(r["lo"] == 1 and r["hi"] == r["n"] for r in per)
 
 
-@pytest.mark.parametrize("limit", [100_000, 10])
-def test_head_small_and_large(rows, monkeypatch, limit):
+@pytest.mark.parametrize("n", [1, 500, 2999])
+def test_head(rows, n):
     pdf, df = rows
-    monkeypatch.setattr(ordering, "_TOP_K_LIMIT", limit)
-    got = ordering.head(df, ["CORP", "D", "POS"], 500).toPandas().sort_values(["CORP", "D", "POS"])
-    assert got["POS"].tolist() == pdf["POS"].tolist()[:500]
+    got = ordering.head(df, ["CORP", "D", "POS"], n).toPandas().sort_values(["CORP", "D", "POS"])
+    assert got["POS"].tolist() == pdf["POS"].tolist()[:n]
     assert ordering.head(df, ["CORP", "D", "POS"], 0).count() == 3000
 
 
