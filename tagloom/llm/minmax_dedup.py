@@ -150,8 +150,10 @@ def _sets(docs, wanted, size):
 
 def _confirmed(edges, sets, percent):
     """Those of the edges (leader, node) whose sets are similar enough. A leader's edges are dealt out by shares."""
-    shares = edges.groupBy("leader").agg(F.ceil(F.count("*") / LEADER_SHARE).cast("int").alias("shares"))
-    dealt = edges.join(shares, "leader").select("leader", "node", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int").alias("share"))
+    shares = stage(edges.groupBy("leader").agg(F.ceil(F.count("*") / LEADER_SHARE).cast("int").alias("shares")), "shares")
+    # Few leaders have several shares, one in LEADER_SHARE edges at most: only they are looked up.
+    share = F.pmod(F.xxhash64("node"), F.coalesce("shares", F.lit(1))).cast("int")
+    dealt = edges.join(stage(shares.where("shares > 1"), "several"), "leader", "left").select("leader", "node", share.alias("share"))
     dealt = dealt.join(sets, "node").select("leader", "share", "node", F.col("n").alias("m"), F.col("shingles").alias("others"))
     leaders = shares.join(sets.withColumnRenamed("node", "leader"), "leader").select(
         "leader", "n", "shingles", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")
