@@ -164,6 +164,8 @@ def _ask_windows(window, buckets):
 
 
 def _step_windows(part, hits, window, buckets):
+    # Rows without an id ask for nothing; with them the ids would also turn into floating point.
+    part = part.filter(part.column("doc_id").is_valid())
     words = Words(part.column("text"))
     anchors = _Anchors(words, window - PERIOD + 1, buckets)
     keys = part.column("key").to_numpy(zero_copy_only=False)

@@ -68,3 +68,12 @@ def test_documents(spark, parts):
     got = run(spark, rows, parts=parts)
     assert got == brute(rows)
     assert sum(r[2] for r in got) > 0
+
+
+def test_null_ids_change_nothing_for_large_ids(spark):
+    """Ids that no floating-point number holds, next to rows without an id in the same batch."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [((1 << 60) + 1, text), ((1 << 60) + 3, text), *[(None, f"{text} {i}") for i in range(80)]]
+    got = run(spark, rows, parts=1)
+    assert got == brute(rows)
+    assert sum(r[2] for r in got) == 40
