@@ -1,4 +1,6 @@
-"""What several operators share: whole-text passes over Arrow batches, bucket counts."""
+"""What several operators share: whole-text passes over Arrow batches, bucket counts, column names."""
+
+from functools import wraps
 
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -33,3 +35,21 @@ def bucket_count(df: DataFrame, column="text") -> int:
     """Buckets for hashes of all texts; grows with the bytes of text."""
     total = df.agg(F.sum(F.octet_length(column)).alias("n")).first()["n"] or 0
     return max(8, -(-total // BUCKET_BYTES))
+
+
+def own_names(operator):
+    """Put columns that begin with an underscore aside while `operator` (docs first) works: it names its own so."""
+    @wraps(operator)
+    def run(docs, *args, **settings):
+        given = {c.lower() for c in docs.columns}
+        aside, n = {}, 0
+        for column in docs.columns:
+            if column.startswith("_"):
+                while f"aside{n}" in given:
+                    n += 1
+                aside[column] = f"aside{n}"
+                n += 1
+        found = operator(docs.withColumnsRenamed(aside), *args, **settings)
+        return found.withColumnsRenamed({name: column for column, name in aside.items()})
+
+    return run

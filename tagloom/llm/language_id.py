@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import steps
+from tagloom.llm.common import own_names, steps
 from tagloom.llm.words import text_bytes
 from tagloom.staging import ship_package, stage
 
@@ -221,6 +221,7 @@ def page_rows(pages: DataFrame) -> DataFrame:
     )
 
 
+@own_names
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of documents whose language is identified; columns are kept."""
     rejected = identify(document_rows(docs)).where(~F.col("kept")).select(

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import own_names
 from tagloom.staging import ship_package
 
 
@@ -32,6 +33,7 @@ def _later_windows(rows, size):
     return keyed.join(repeated, ["h1", "h2"]).where("at > first").select("at.*")
 
 
+@own_names
 def remove_repeated_lines(docs: DataFrame, size: int = 3) -> DataFrame:
     """`docs` with n_lines and n_removed added and the covered lines taken out of text.
 

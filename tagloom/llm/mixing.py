@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tagloom.llm.common import own_names
 from tagloom.staging import stage
 
 #: Rows behind one step of the running sum within a leaf.
@@ -42,7 +43,10 @@ def fill(children: DataFrame, parent: list, child: str) -> DataFrame:
     """Add `budget` to children (weight, cap, parent_budget): shares by weight, none above its cap.
 
     Whole numbers throughout; shares are rounded down, so a parent may lose fewer tokens than it has children.
+    A weight of 0 means nothing of the child.
     """
+    wanted = F.col("weight") > 0
+    children = children.withColumn("cap", F.when(wanted, F.col("cap")).otherwise(0)).withColumn("weight", F.when(wanted, F.col("weight")).otherwise(1))
     ordered = W.partitionBy(*parent).orderBy(F.col("cap") / F.col("weight"), child)
     before = F.coalesce(F.sum("cap").over(ordered.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     weights = F.sum("weight").over(ordered.rowsBetween(0, W.unboundedFollowing))
@@ -58,7 +62,9 @@ def fill(children: DataFrame, parent: list, child: str) -> DataFrame:
 
 def leaf_budgets(leaves: DataFrame, budget: int, epochs: int, domain_weights, language_weights) -> DataFrame:
     """Budgets of leaves (LEAF columns and tokens)."""
-    capped = leaves.withColumn("cap", F.col("tokens") * F.lit(epochs).cast("long"))
+    # What is not wanted cannot be taken: its ancestors do not count on it either.
+    wanted = (_weight("domain", domain_weights) > 0) & (_weight("language", language_weights) > 0)
+    capped = leaves.withColumn("cap", F.when(wanted, F.col("tokens") * F.lit(epochs)).otherwise(0).cast("long"))
 
     def level(keys, weight, above):
         nodes = capped.groupBy(*keys).agg(F.sum("cap").alias("cap")).withColumn("weight", weight)
@@ -78,6 +84,7 @@ def _tokens():
     return F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long")
 
 
+@own_names
 def with_copies(
     docs: DataFrame, domain: Column, budget: int | None = None, epochs: int = 4, seed: int = 7,
     domain_weights=DOMAIN_WEIGHTS, language_weights=LANGUAGE_WEIGHTS,
@@ -86,8 +93,12 @@ def with_copies(
 
     budget: tokens of the mixture; None stands for as many as there are. Null lang or source is a branch of
     its own, a null text has no tokens. Rows of a leaf that share an id share a place in its order, so
-    they come in together or not at all.
+    they come in together or not at all. Weights are whole numbers from 0 on; 0 takes nothing of a branch.
     """
+    for weights in (domain_weights, language_weights):
+        for name, weight in weights.items():
+            if not isinstance(weight, int) or weight < 0:
+                raise ValueError(f"the weight of {name} must be a whole number from 0 on, not {weight!r}")
     names = ["domain", "n_tokens", "copies"]
     rows = docs.select(
         domain.alias("domain"), F.coalesce("lang", F.lit(NONE)).alias("language"), F.coalesce("source", F.lit(NONE)).alias("source_name"),
@@ -137,6 +148,7 @@ def with_copies(
     )
 
 
+@own_names
 def mix(docs: DataFrame, domain: Column | None = None, **settings) -> DataFrame:
     """The mixture itself: rows of `docs`, each as often as the mixture takes it; columns are kept."""
     counted = with_copies(docs.withColumn("_all", F.struct("*")), source_domain() if domain is None else domain, **settings)

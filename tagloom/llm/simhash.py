@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tagloom.llm.common import steps
+from tagloom.llm.common import own_names, steps
 from tagloom.staging import ship_package, stage
 
 #: Fingerprints that a shard should get at most, visitors included.
@@ -285,6 +285,7 @@ def near_duplicates(docs: DataFrame, size=3, radius=2) -> DataFrame:
     )
 
 
+@own_names
 def keep_one(docs: DataFrame, size=3, radius=2) -> DataFrame:
     """The rows of `docs` without near-duplicates: of each component the row with the smallest id stays.
 

@@ -119,3 +119,17 @@ def test_fill(spark, budget, children, want):
     frame = spark.createDataFrame(rows, "parent string, child string, weight long, cap long, parent_budget long")
     got = {r["child"]: r["budget"] for r in mixing.fill(frame, ["parent"], "child").select("child", F.col("budget")).collect()}
     assert got == want == water(budget, children)
+
+
+def test_weight_zero_takes_nothing(spark):
+    """A branch of weight 0 stays out, and its siblings and the other domains take its share."""
+    rows = [(i, "one two three four", lang, f"src{n}") for i, (lang, n) in enumerate([("en", 1), ("de", 1), ("en", 8), ("de", 8)] * 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    taken = mixing.with_copies(docs, mixing.source_domain(), 80, 4, domain_weights={"web": 0}, language_weights={"de": 0}).collect()
+    assert {(r["domain"], r["lang"]) for r in taken if r["copies"]} == {("books", "en")}
+    assert sum(r["copies"] * r["n_tokens"] for r in taken) == 80
+    none = mixing.with_copies(docs, mixing.source_domain(), 80, 4, domain_weights={"web": 0, "books": 0}).collect()
+    assert not any(r["copies"] for r in none)
+    for wrong in (-1, None, 0.5):
+        with pytest.raises(ValueError):
+            mixing.with_copies(docs, mixing.source_domain(), domain_weights={"web": wrong})
