@@ -110,13 +110,14 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def judge(
-    docs: DataFrame, char_limit=0.18, word_limit=0.45, least_words=50, least_reference=2000
+    docs: DataFrame, char_limit=0.18, word_share=0.97, least_words=50, least_reference=2000, least_common=100
 ) -> DataFrame:
     """Per row: doc_id, the five counts, base_failed, char_distance, word_distance and kept.
 
     A row fails the base rules with under 10 words, or if over a fifth of its words stand in 5-word
     windows that repeat in it. It is kept if it passes them and is no farther from its language's
-    reference than the limits. Texts under `least_words` are not compared, as short histograms scatter;
+    reference than `char_limit` in characters and, in words, `word_share` of the distance of a text without any
+    common word. A reference with under `least_common` thousandths of common words says nothing about words. Texts under `least_words` are not compared, as short histograms scatter;
     nor are texts of a language with under `least_reference` words in all. A reference has,
     for each bin, the median share over all such texts of the language, so that junk does not move it; rows with null lang are a language of their own. A null text has no words.
     """
@@ -133,18 +134,21 @@ def judge(
         F.sum("n_words").alias("ref_words"), typical("chars", 6).alias("ref_chars"),
         typical("common", len(ALL_COMMON) + 1).alias("ref_common"),
     ).withColumnRenamed("lang", "ref_lang")
+    without = F.array(*[F.lit(0.0)] * len(ALL_COMMON), F.lit(1.0))
+    telling = _sum(F.slice("ref_common", 1, len(ALL_COMMON))) >= least_common
+    references = references.withColumn("word_limit", F.when(telling, word_share * js_distance(without, F.col("ref_common"))))
     met = rows.join(references, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     compared = (F.col("n_words") >= least_words) & (F.col("ref_words") >= least_reference)
     return met.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"),
         F.when(compared, js_distance(F.col("chars"), F.col("ref_chars"))).alias("char_distance"),
-        F.when(compared, js_distance(F.col("common"), F.col("ref_common"))).alias("word_distance"),
+        F.when(compared, js_distance(F.col("common"), F.col("ref_common"))).alias("word_distance"), "word_limit",
     ).withColumn("kept", ~F.col("base_failed") & (F.coalesce("char_distance", F.lit(0.0)) <= char_limit)
-                 & (F.coalesce("word_distance", F.lit(0.0)) <= word_limit))
+                 & F.coalesce(F.col("word_distance") <= F.col("word_limit"), F.lit(True))).drop("word_limit")
 
 
-def sql(char_limit=0.18, word_limit=0.45, least_words=50, least_reference=2000) -> str:
+def sql(char_limit=0.18, word_share=0.97, least_words=50, least_reference=2000, least_common=100) -> str:
     """The same rules for DuckDB."""
     listed = ", ".join(f"'{w}'" for w in ALL_COMMON)
     counts = ", ".join(f"len(list_filter(cw, lambda x: x = '{w}'))" for w in ALL_COMMON)
@@ -152,6 +156,7 @@ def sql(char_limit=0.18, word_limit=0.45, least_words=50, least_reference=2000)
         f"coalesce(quantile_cont(floor(1000 * {name}[{i}] / nullif(list_sum({name}), 0)), 0.5) "
         f"FILTER (n_words >= {least_words} AND list_sum({name}) > 0), 0)" for i in range(1, n + 1)
     ) + "]"
+    without = "[" + "0, " * len(ALL_COMMON) + "1]"
     part = "CASE WHEN {0} > 0 THEN {0} * log2(2 * {0} / (a + b)) ELSE 0 END"
     distance = lambda p, q: (
         f"(SELECT sqrt(greatest(sum({part.format('a')} + {part.format('b')}) / 2, 0)) FROM ("
@@ -184,14 +189,16 @@ WITH d AS (
          list_append(cc, other) AS co FROM m
 ), r AS (
   SELECT lang AS rl, sum(n_words) AS rw, {typical('ch', 6)} AS rch, {typical('co', len(ALL_COMMON) + 1)} AS rco FROM f GROUP BY lang
+), l AS (
+  SELECT *, CASE WHEN list_sum(rco[1:{len(ALL_COMMON)}]) >= {least_common} THEN {word_share} * {distance(without, 'rco')} END AS word_limit FROM r
 ), j AS (
-  SELECT f.*, n_words >= {least_words} AND rw >= {least_reference} AS compared,
+  SELECT f.*, word_limit, n_words >= {least_words} AND rw >= {least_reference} AS compared,
          {distance('ch', 'rch')} AS cd, {distance('co', 'rco')} AS wd,
          n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
-  FROM f JOIN r ON f.lang IS NOT DISTINCT FROM r.rl
+  FROM f JOIN l ON f.lang IS NOT DISTINCT FROM l.rl
 )
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-       NOT base_failed AND (NOT compared OR (coalesce(cd, 0) <= {char_limit} AND coalesce(wd, 0) <= {word_limit})) AS kept
+       NOT base_failed AND (NOT compared OR (coalesce(cd, 0) <= {char_limit} AND coalesce(wd <= word_limit, true))) AS kept
 FROM j
 """

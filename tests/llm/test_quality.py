@@ -41,6 +41,17 @@ def test_counts(spark):
     assert kept[1] and kept[13] and not kept[12] and not kept[3]
 
 
+def test_texts_without_common_words(spark):
+    """Keyword lists and lower-case gibberish go at any length from 50 words; a language of other words is not judged by words."""
+    prose = [(i, " ".join(f"the river of stone{i}x{k} is and was town{k} to that in hill{k}" for k in range(12)), "en") for i in range(30)]
+    listed = lambda n: " ".join(f"market{i}x stone river green hill town"[: 7 + i % 29] for i in range(n))
+    bare = [(100 + n, listed(n), "en") for n in (50, 60, 400)] + [(99, " ".join(f"short{i}x" for i in range(49)), "en")]
+    other = [(200 + i, " ".join(f"kota{i}x{k} besar hijau bukit" for k in range(40)), "id") for i in range(30)]
+    kept = {r["doc_id"]: r["kept"] for r in run(spark, prose + bare + other)}
+    assert not any(kept[doc] for doc, _, _ in bare if doc >= 150)
+    assert kept[99] and all(kept[doc] for doc, _, _ in prose + other)
+
+
 def test_empty(spark):
     assert run(spark, []) == []
 
