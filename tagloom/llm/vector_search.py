@@ -4,7 +4,8 @@ Vectors are dealt to shards by a hash of their id, queries to blocks; every pair
 is one group, which builds the shard's tree and walks it with the whole block. Unit vectors are compared
 by chord length, which falls as the cosine rises. A branch is left out for a query if its triangle
 bound times `relax` exceeds the query's k-th best distance: 1 is exact, more prunes earlier. The few
-best of each shard are then scored again on the original vectors and merged.
+best of each shard are then scored again on the original vectors and merged. Of equal vectors a shard's
+tree holds only those whose ids are small enough to be found.
 """
 
 import numpy as np
@@ -39,7 +40,7 @@ class Tree:
         middle = np.median(away)
         near = away < middle
         if not near.any() or near.all():
-            return members  # copies of one vector
+            return members  # equal but for rounding
         inner, outer = members[near], members[~near]
         return (
             far, (away[near].min(), away[near].max()), (away[~near].min(), away[~near].max()),
@@ -90,6 +91,16 @@ def _matrix(table, name):
     return flat.reshape(table.num_rows, -1)
 
 
+def first_of_equal(raw, most):
+    """Positions, in order, of the first `most` rows of each distinct vector."""
+    packed = np.ascontiguousarray(raw).view(np.dtype((np.void, raw.shape[1] * raw.itemsize))).ravel()
+    _, kind = np.unique(packed, return_inverse=True)
+    order = np.argsort(kind, kind="stable")
+    ends = np.cumsum(np.bincount(kind))
+    nth = np.arange(len(kind)) - (ends - np.bincount(kind))[kind[order]]
+    return np.sort(order[nth < most])
+
+
 def exact_cosine(a, b):
     """Cosines of the rows of a and b, each summed in the same order wherever it stands."""
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
@@ -130,12 +141,15 @@ def nearest(
         order = np.argsort(ids, kind="stable")  # the tree does not depend on the order of rows
         ids, raw = ids[order], _matrix(members, "v")[order]
         asked_ids, asked_raw = queries.column("id").to_numpy().astype(np.int64), _matrix(queries, "v")
+        copies = int(np.unique(ids, return_counts=True)[1].max()) - 1
+        # Equal vectors tie for every query, and ties go by id: no more of them can be among the k nearest.
+        chosen = first_of_equal(raw, k + copies + 1)
+        ids, raw = ids[chosen], raw[chosen]
         unit = lambda m: m / np.sqrt((m * m).sum(axis=1))[:, None]
         # Positions of a query's own id; repeated ids are left out afterwards as well.
         at = np.searchsorted(ids, asked_ids)
         own = np.where(ids[np.minimum(at, len(ids) - 1)] == asked_ids, at, -1)
-        copies = np.bincount(np.searchsorted(np.unique(ids), ids)).max() - 1
-        q, m = Tree(unit(raw)).search(unit(asked_raw), own, k + int(copies), relax)
+        q, m = Tree(unit(raw)).search(unit(asked_raw), own, k + copies, relax)
         other = ids[m] != asked_ids[q]
         q, m = q[other], m[other]
         score = exact_cosine(asked_raw[q], raw[m])

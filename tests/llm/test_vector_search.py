@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tagloom.llm.queries import RELAX
-from tagloom.llm.vector_search import exact_cosine, nearest
+from tagloom.llm.vector_search import exact_cosine, first_of_equal, nearest
 
 
 def brute(rows, every=50, k=5):
@@ -47,6 +47,20 @@ def test_planted(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_copies(spark):
+    """Half of the rows share one vector, some ids repeat; a few rows of a group of copies decide."""
+    rng = np.random.default_rng(5)
+    same = rng.normal(size=8).tolist()
+    rows = [(i, same if i % 2 else rng.normal(size=8).tolist()) for i in range(1, 800)]
+    rows += [(100 * i, same) for i in range(1, 8)] + [(300, same), (300, same), (7, same), (7, same), (7, rng.normal(size=8).tolist())]
+    rows = as_float(rows)
+    # Which of the rows of a repeated id asks is open, so those ids do not ask here.
+    want = [r for r in brute(rows) if r[0] % 100]
+    assert [r for r in run(spark, rows) if r[0] % 100] == want and want
+    raw = np.repeat(np.array([same, same[::-1], same]), [9000, 3, 9000], axis=0)
+    assert first_of_equal(raw, 6).tolist() == [0, 1, 2, 3, 4, 5, 9000, 9001, 9002]
+
+
 def test_empty(spark):
     assert run(spark, []) == []
 
