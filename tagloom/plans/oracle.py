@@ -422,6 +422,11 @@ SELECT FORM AS key, STTS, 'form' AS kind FROM lex UNION ALL SELECT SUFFIX, STTS,
 _sql("svm_linear", """
 SELECT FORM, CAST(list_position(v, list_max(v)) - 1 AS INTEGER) AS code
 FROM (SELECT FORM, vec[1:4] AS v FROM emb) WHERE list_max(v) - list_sort(v)[3] > 0.05""", _EMB)
+_sql("svm_pairs", ORACLE["svm_linear"], None)
+_sql("svm_pair_gaps", """
+SELECT CAST(a.code AS INTEGER) AS first, CAST(b.code AS INTEGER) AS second, true AS converged, a.n + b.n AS n, CAST(0 AS BIGINT) AS wrong
+FROM classes a JOIN classes b ON a.code < b.code""", _EMB + """,
+classes AS (SELECT list_position(vec[1:4], list_max(vec[1:4])) - 1 AS code, count(*) AS n FROM emb GROUP BY 1 HAVING code < 3)""")
 _sql("svm_rbf", """
 SELECT FORM, CASE WHEN r < 0.02 THEN 0 ELSE 1 END AS code
 FROM (SELECT FORM, vec[1] * vec[1] + vec[2] * vec[2] AS r FROM emb) WHERE abs(r - 0.02) > 0.004""", _EMB)

@@ -9,7 +9,7 @@ from tagloom.functions import tags as tg
 from tagloom.functions.scores import round_half_even
 from tagloom.functions.vectors import as_doubles
 from tagloom.learn import features as ft
-from tagloom.learn import cbow, skipgram, svm, taggers, word2vec
+from tagloom.learn import cbow, pairs, skipgram, svm, taggers, word2vec
 from tagloom.operators import corpus as co
 from tagloom.operators import joins, leaderboard as lb, ordering as od, scoring as sc, tagset as ts
 from tagloom.plans import testbed as tb
@@ -801,14 +801,19 @@ _RULES = {
 _COORDINATES = {"linear": 4, "rbf": 2, "poly": 3}
 
 
-def _kernel_run(spark, sf, kernel):
-    """The predicted class of every vector that is not on the border of its rule."""
+def _rule_rows(spark, sf, kernel):
+    """Every vector's coordinates of the rule with its class, and whether it is off the rule's border."""
     rule, margin, least = _RULES[kernel]
     rows = _vectors(spark, sf).select(FORM, as_doubles("vec").alias("vec"))
-    rows = rows.select(
+    return rows.select(
         FORM, F.expr(rule).cast("double").alias("label"), F.lit(1.0).alias("w"), F.transform(F.slice("vec", 1, _COORDINATES[kernel]), lambda x: x * 10).alias("vec"),
         (F.expr(margin) > least).alias("clear"),
     )
+
+
+def _kernel_run(spark, sf, kernel):
+    """The predicted class of every vector that is not on the border of its rule."""
+    rows = _rule_rows(spark, sf, kernel)
     settings = svm.SvmSettings(kernel, kernel=kernel, scale=kernel == "rbf", C=1000.0)
     tagger = svm.train_rows(rows, settings)
     return tagger.predict(rows.where("clear").select(FORM, "vec")).select(FORM, F.col("code"))
@@ -819,6 +824,35 @@ def svm_linear(spark, sf):
     return _kernel_run(spark, sf, "linear")
 
 
+@query
+def svm_pairs(spark, sf):
+    """The class that most of the class-pair machines vote for, of every vector that is not on the border of its rule."""
+    rows = _rule_rows(spark, sf, "linear")
+    tagger = pairs.train_rows(rows, svm.SvmSettings("pairs", kernel="linear"))
+    return tagger.predict(rows.where("clear").select(FORM, "vec")).select(FORM, "code")
+
+
+@query
+def svm_pair_gaps(spark, sf):
+    """Class pairs of the training forms, whether each machine is within its bound, and the clear rows it puts on the wrong side."""
+    rows = stage(_rule_rows(spark, sf, "linear").where("label < 3"), "rows")
+    tagger = pairs.train_rows(rows, svm.SvmSettings("gaps", kernel="linear"))
+    found = [
+        (tagger.classes[a], tagger.classes[b], gap <= 1e-2, *map(float, plane))
+        for (a, b), plane, gap in zip(tagger.machines, tagger.planes, tagger.gaps)
+    ]
+    machines = spark.createDataFrame(
+        [(a, b, met, list(plane)) for a, b, met, *plane in found], "first int, second int, converged boolean, plane array<double>"
+    )
+    # Three machines at most beside each row.
+    met = rows.join(F.broadcast(machines), F.col("label").isin(F.col("first"), F.col("second")))
+    margin = F.aggregate(
+        F.zip_with("vec", F.slice("plane", 1, F.size("vec")), lambda x, p: x * p), F.element_at("plane", -1), lambda a, x: a + x
+    )
+    wrong = F.col("clear") & ((margin > 0) != (F.col("label") == F.col("first")))
+    return met.groupBy("first", "second", "converged").agg(F.count(F.lit(1)).alias("n"), F.count_if(wrong).alias("wrong"))
+
+
 @query
 def saved_svm(spark, sf):
     """A machine that was saved and read again gives every vector the same class."""
