@@ -11,7 +11,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import own_names, steps
@@ -19,6 +19,8 @@ from tagloom.llm.words import text_bytes
 from tagloom.staging import ship_package, stage
 
 SLOTS = 1 << 16
+#: Candidates that need no declared texts.
+LANGUAGES = ("en", "de", "fr", "es")
 UNKNOWN = "und"
 #: Languages that country suffixes speak for.
 SUFFIX_LANGUAGES = {
@@ -55,19 +57,47 @@ class Model:
     table: np.ndarray
 
 
-def train(rows: DataFrame, languages=("en", "de", "fr", "es"), per_language=500) -> Model:
+def said_language(column="declared"):
+    """The language of a declared tag: 'de' of 'de-AT' or 'DE'. Null where no such tag is declared."""
+    found = F.regexp_extract(F.lower(F.trim(column)), r"^([a-z]{2,3})(?:[-_].*)?$", 1)
+    return F.when(found != "", found)
+
+
+def candidates(rows: DataFrame, per_language=500, most=64, fallback=LANGUAGES) -> tuple:
+    """The languages that at least `per_language` ids declare, at most the `most` frequent, and `fallback`.
+
+    rows: id, declared. One grouped count over all rows. Fallback languages come first.
+    """
+    counts = declared_counts(rows)
+    often = counts.where(F.col("n") >= per_language).orderBy(F.desc("n"), "said").limit(most)
+    return (*fallback, *sorted({r["said"] for r in often.collect()} - set(fallback)))
+
+
+def declared_counts(rows: DataFrame) -> DataFrame:
+    """said, n: about how many ids declare each language."""
+    return rows.select("id", said_language().alias("said")).where(F.col("said").isNotNull()).groupBy("said").agg(
+        F.approx_count_distinct("id").alias("n")
+    )
+
+
+def train(rows: DataFrame, languages=LANGUAGES, per_language=500) -> Model:
     """Learn trigrams from at most `per_language` declared texts of each language, chosen by a hash of the id.
 
-    rows: id, text, declared. A language without texts has even probabilities.
+    rows: id, text, declared. Region tags count for their language. An id that repeats gives one text, the smallest.
+    A language without texts has even probabilities.
     """
     ship_package(rows.sparkSession)
-    labelled = rows.where(F.col("text").isNotNull() & F.col("id").isNotNull()).select("id", "declared")
-    order = F.xxhash64("id", F.lit("sample"))
-    chosen = reduce(DataFrame.unionAll, [
-        labelled.where(F.col("declared") == name).orderBy(order, "id").limit(per_language) for name in languages
-    ]).distinct()
-    # At most languages x per_language ids.
-    sample = rows.join(F.broadcast(chosen.select("id", "declared")), ["id", "declared"], "left_semi").select("declared", "text")
+    # Of n ids about twice as many as wanted have a hash below the bound; only those are ranked.
+    bound = F.lit(1.0)
+    for r in declared_counts(rows).where(F.col("said").isin(*languages)).collect():
+        bound = F.when(F.col("said") == r["said"], min(1.0, 2.0 * per_language / max(1, r["n"]))).otherwise(bound)
+    labelled = rows.withColumn("said", said_language()).where(F.col("text").isNotNull() & F.col("id").isNotNull()).select(
+        "id", F.col("said").alias("declared"), F.xxhash64("id", F.lit("sample")).alias("h"), "text", bound.alias("bound"),
+    )
+    few = labelled.where(F.col("declared").isin(*languages) & (F.col("h") / F.lit(2.0**64) + 0.5 <= F.col("bound")))
+    nth = F.row_number().over(Window.partitionBy("declared").orderBy("h", "id"))
+    ranked = few.groupBy("id", "h", "declared").agg(F.min("text").alias("text")).withColumn("nth", nth)
+    sample = ranked.where(F.col("nth") <= per_language).select("declared", "text")
 
     def count(batches):
         found = {}
@@ -170,7 +200,7 @@ def fuse(
 
     spoken = F.create_map(*[F.lit(x) for pair in SUFFIX_LANGUAGES.items() for x in pair])
     said = F.try_element_at(spoken, F.lower("suffix"))
-    declared = F.lower(F.substring("declared", 1, 2))
+    declared = said_language()
     scores = [
         F.get("ll", F.lit(i)) * scale + F.log(F.get(prior, F.lit(i)))
         + trusted(declared, name, declared_trust) + trusted(said, name, suffix_trust)
@@ -190,11 +220,13 @@ def fuse(
     )
 
 
-def identify(rows: DataFrame, languages=("en", "de", "fr", "es"), per_language=500) -> DataFrame:
+def identify(rows: DataFrame, languages=None, per_language=500) -> DataFrame:
     """id, text_key, lang, confidence and kept for rows of id, text, declared, host, suffix (strings or null).
 
-    Every row comes back once, repeated rows and null ids too; a null or empty text is rejected.
+    languages: the candidates; if none are given, those of `candidates`. Every row comes back once, repeated rows
+    and null ids too; a null or empty text is rejected, a text of any length is read whole.
     """
+    languages = languages or candidates(rows, per_language)
     model = train(rows, languages, per_language)
     return fuse(stage(text_evidence(rows, model), "evidence"), languages)
 
@@ -223,7 +255,10 @@ def page_rows(pages: DataFrame) -> DataFrame:
 
 @own_names
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of documents whose language is identified; columns are kept."""
+    """The rows of documents whose language is identified; columns are kept.
+
+    Repeated rows stay or go together, rows without an id are judged by their text alone, and columns may have any names.
+    """
     rejected = identify(document_rows(docs)).where(~F.col("kept")).select(
         F.col("id").alias("_id"), F.coalesce("text_key", F.lit(0)).alias("_key")
     ).distinct()

@@ -118,3 +118,35 @@ def test_empty(spark, kept):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     out = li.keep_identified(docs) if kept else li.identify(li.document_rows(docs))
     assert out.count() == 0
+
+
+def test_candidates_and_region_tags(spark):
+    """A declared fifth language is learnt and kept, region tags train their language, a repeated id gives one text."""
+    polish = ["to jest zdanie o kotach i psach", "wszystkie dzieci lubią biegać po lesie", "jutro będzie padał deszcz nad miastem"]
+    dutch = ["de kinderen lopen graag door het bos", "morgen regent het boven de stad", "dit is een zin over honden en katten"]
+    rows = [(i, polish[i % 3], "pl-PL" if i % 2 else "PL", "h", None) for i in range(30)]
+    rows += [(100 + i, dutch[i % 3], "nl_BE", "h", None) for i in range(30)] + [(500, dutch[0], "xx", "h", None)] * 40
+    frame = spark.createDataFrame(rows, "id long, text string, declared string, host string, suffix string")
+    assert li.candidates(frame, 20) == (*LANGUAGES, "nl", "pl")
+    assert li.candidates(frame, 20, most=1, fallback=()) in (("nl",), ("pl",))
+    got = {r["id"]: r for r in li.identify(frame, per_language=20).collect()}
+    assert {got[i]["lang"] for i in range(30)} == {"pl"} and {got[100 + i]["lang"] for i in range(30)} == {"nl"}
+    assert all(got[i]["kept"] for i in range(30))
+    tags = spark.createDataFrame([("en-US",), (" DE ",), ("fr_CA",), ("",), (None,), ("english",), ("*",), ("nds",)], "declared string")
+    assert [r[0] for r in tags.select(li.said_language()).collect()] == ["en", "de", "fr", None, None, None, None, "nds"]
+
+
+def test_training_sample(spark):
+    """The table equals counts over the ids of smallest hash, one text each."""
+    rows = [(i % 50, f"text {'abcdefghij'[i % 10]} number {i}", "en") for i in range(70)] + [(60 + i, "der hund", "de") for i in range(3)]
+    frame = spark.createDataFrame(rows, "id long, text string, declared string")
+    ranks = {r["id"]: r["h"] for r in frame.select("id", li.F.xxhash64("id", li.F.lit("sample")).alias("h")).collect()}
+    texts = {}
+    for i, text, said in rows:
+        texts[said, i] = min(text, texts.get((said, i), text))
+    want = np.full((2, li.SLOTS), 0.1)
+    for k, name in enumerate(("en", "de")):
+        for _, i in sorted((ranks[i], i) for said, i in texts if said == name)[:10]:
+            np.add.at(want[k], brute_slots(texts[name, i]), 1)
+    got = li.train(frame, ("en", "de"), 10).table
+    assert np.allclose(got, np.log(want / want.sum(axis=1, keepdims=True)), atol=1e-5)
