@@ -28,7 +28,7 @@ IDENTITY_TERMS = (
 )
 #: Labelled rows that the classifier is fitted on at most.
 SAMPLE_ROWS = 20_000
-#: Words it may weigh, besides identity terms, and documents of the sample a word must be in.
+#: Words it may weigh at most, besides identity terms, and documents of the sample a word must be in.
 FEATURES = 4096
 LEAST_DOCUMENTS = 4
 
@@ -109,20 +109,27 @@ def fit(sides, labels, pairs, n_features, l1=3e-4, balance=3.0, rounds=400, tole
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, sample_rows=SAMPLE_ROWS, terms=IDENTITY_TERMS, l1=3e-4, balance=3.0
+    docs: DataFrame, labels: DataFrame, sample_rows=SAMPLE_ROWS, terms=IDENTITY_TERMS, l1=3e-4, balance=3.0,
+    n_words=FEATURES,
 ) -> Model:
     """Fit on at most `sample_rows` labelled texts, chosen by a hash of the id.
 
     labels: doc_id and toxic (0 or 1; other values and null ids are left out, of repeated ids the largest counts).
-    Words are counted over the whole texts of the sample; FEATURES of them, those that part toxic texts from
+    An id that repeats in docs gives one text, the smallest (a null text is empty), so that `sample_rows` bounds what is fitted.
+    Words are counted over the whole texts of the sample; `n_words` of them, those that part toxic texts from
     others best, and all identity terms get weights. Without labels the score is the same for all texts.
     """
     spark = docs.sparkSession
     ship_package(spark)
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id").limit(sample_rows)
+    # Of n ids about a fifth more than wanted have a hash below the bound; only those are ranked.
+    known = known.withColumn("_h", F.xxhash64("doc_id", F.lit("sample")))
+    bound = min(1.0, (1.2 * sample_rows + 1000) / max(1, known.count()))
+    few = known.where(F.col("_h") / F.lit(2.0**64) + 0.5 <= bound)
+    chosen = few.orderBy("_h", "doc_id").limit(sample_rows).select("doc_id", "toxic")
     # At most sample_rows ids and labels.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    met = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = met.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     swaps = _swaps(terms)
 
     def words(batches):
@@ -143,7 +150,7 @@ def train(
     n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     counts = sample.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("t"))
     parted = F.pow(F.col("t") * F.lit(float(n)) - F.col("n") * F.lit(float(toxic)), 2) / (F.col("n") * (F.lit(n + 1.0) - F.col("n")))
-    best = counts.where(F.col("n") >= LEAST_DOCUMENTS).orderBy(parted.desc(), "word").limit(FEATURES)
+    best = counts.where(F.col("n") >= LEAST_DOCUMENTS).orderBy(parted.desc(), "word").limit(n_words)
     names = sorted({bytes(r["word"]) for r in best.select("word").collect()} | swaps.keys())
     place = {w: i for i, w in enumerate(names)}
 
@@ -155,7 +162,7 @@ def train(
                 out.append(pa.array([None if ws is None else [place[w] for w in ws if w in place] for ws in values], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *out], ["doc_id", "toxic", "own", "other"])
 
-    # sample_rows rows of at most FEATURES positions.
+    # sample_rows rows of at most n_words positions and the identity terms.
     found = sample.mapInArrow(positions, f"doc_id {kind}, toxic int, own array<int>, other array<int>").toPandas()
     found = found.sort_values("doc_id", kind="stable", ignore_index=True)
     labels_ = found["toxic"].to_numpy(np.float64)

@@ -72,3 +72,40 @@ def test_odd_rows(spark, labels):
     assert sorted((r["doc_id"] for r in got), key=str) == sorted((d for d, _ in ODD), key=str)
     assert all(0 <= r["score"] <= 1 for r in got)
     assert tox.score_held_out(docs.limit(0), given).count() == 0
+
+
+def test_fit_is_the_minimum():
+    """No small step from the fitted weights lowers the penalised loss, written out in plain numpy."""
+    rng = np.random.default_rng(4)
+    x = rng.random((80, 6)) < 0.4
+    labels = (x[:, 0] | (rng.random(80) < 0.1)).astype(float)
+    pairs = [[(0, 1.0), (1, -1.0)], [(2, 1.0), (3, -1.0)], [(4, 1.0)]]
+    flat = [(p, c, s) for p, own in enumerate(pairs) for c, s in own]
+    pair, cols, sign = (np.array(v) for v in zip(*flat))
+    l1, balance = 1e-3, 2.0
+    w, b = tox.fit(np.nonzero(x), labels, (pair, cols, sign.astype(float)), 6, l1, balance, 4000, 1e-12)
+
+    def loss(w, b):
+        z = x @ w + b
+        moved = [sum(s * w[c] for c, s in own) for own in pairs]
+        return np.mean(np.log1p(np.exp(z)) - labels * z) + l1 * np.abs(w).sum() + balance * np.mean(np.square(moved))
+
+    least = loss(w, b)
+    for _ in range(500):
+        step = rng.normal(size=7) * 10.0 ** -rng.integers(1, 5)
+        assert loss(w + step[:6], b + step[6]) >= least - 1e-9
+
+
+def test_scores_are_sums_of_weights():
+    model = tox.Model({b"idiot": 2.0, b"idiot*": 0.5, b"good": -1.0}, -0.3)
+    for text, z in (("Idiot!", 1.7), ("idiots idiots", 0.2), ("good, GOOD", -1.3), (None, -0.3), ("", -0.3)):
+        assert abs(model.score(text) - 1 / (1 + np.exp(-z))) < 1e-12
+
+
+def test_repeated_ids_are_one_row(spark):
+    """Copies of one labelled id weigh no more than one text: the model stays the same."""
+    docs, labels = biased(spark)
+    hot = docs.unionByName(docs.where("doc_id = 4").withColumn("n", tox.F.explode(tox.F.sequence(tox.F.lit(1), tox.F.lit(900)))).drop("n"))
+    a, b = (tox.train(d, labels, sample_rows=300) for d in (docs, hot))
+    assert a.weights.keys() == b.weights.keys()
+    assert all(abs(a.weights[k] - b.weights[k]) < 1e-12 for k in a.weights) and a.bias == b.bias
