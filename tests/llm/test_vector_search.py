@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from tagloom.llm import vector_search as vs
 from tagloom.llm.queries import RELAX
 from tagloom.llm.vector_search import exact_cosine, first_of_equal, nearest
 
@@ -80,3 +81,46 @@ def test_recall(spark, vectors):
         got = {(q, v) for q, _, v, _ in run(spark, vectors, relax=relax)}
         print(relax, len(want & got) / len(want))
         assert relax > RELAX or len(want & got) >= 0.9 * len(want)
+
+
+def test_routes(monkeypatch, spark):
+    """Clustered vectors over many small leaves: exact at one, most leaves are left out, a hot leaf is cut."""
+    monkeypatch.setattr(vs, "SHARD_VECTORS", 64)
+    monkeypatch.setattr(vs, "QUERY_BLOCK", 16)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 6)) * 10
+    rows = [(i, (centres[i % 12] + rng.normal(size=6) * 0.2).tolist()) for i in range(1, 1501)]
+    rows += [(i, centres[0].tolist()) for i in range(2000, 2700)]  # a third share one vector
+    rows += [(50, centres[1].tolist()), (7, centres[2].tolist()), (7, centres[2].tolist())]
+    rows = as_float(rows)
+    assert [r for r in run(spark, rows) if r[0] != 50] == [r for r in brute(rows) if r[0] != 50]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    usable = vs._usable(frame, "vec_id", "embedding")
+    routes = vs.fit_routes(usable, usable.count())
+    assert routes[6].leaves > 8
+    dealt = vs.deal(usable, routes, 5).collect()
+    assert len(dealt) < len(rows) - 500
+    units = vs.unit(np.array([v for _, v in rows if v], np.float64))
+    at, leaf = routes[6].reach(units, np.full(len(units), 0.05), 1.0)
+    assert len(at) < len(units) * routes[6].leaves / 4
+    own = routes[6].home(units)
+    reached = set(zip(at.tolist(), leaf.tolist()))
+    assert all((i, int(own[i])) in reached for i in range(len(units)))
+    for i in range(0, len(units), 97):  # whatever lies within the limit is in a leaf that is visited
+        assert all((i, int(own[j])) in reached for j in np.flatnonzero(vs.chord(units[i: i + 1], units)[0] <= 0.05))
+
+
+def test_one_id_in_many_rows(spark):
+    """An id of a third of the rows neither finds itself nor takes memory for each of its rows."""
+    rng = np.random.default_rng(9)
+    rows = as_float([(50, rng.normal(size=4).tolist()) for _ in range(400)] + [(i, rng.normal(size=4).tolist()) for i in range(1000, 1800)])
+    got, want = ([r for r in x if r[0] != 50] for x in (run(spark, rows), brute(rows)))
+    assert got == want
+    found = [r for r in run(spark, rows) if r[0] == 50]
+    assert len(found) == 5 and all(r[2] != 50 for r in found)
+
+
+def test_first_of_equal_ids():
+    raw = np.array([[1.0], [2.0], [1.0], [1.0], [1.0], [2.0], [1.0]])
+    ids = np.array([9, 1, 4, 4, 4, 1, 7])
+    assert vs.first_of_equal(raw, 2, ids, 2).tolist() == [1, 2, 3, 5, 6]
