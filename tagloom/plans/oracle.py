@@ -430,6 +430,7 @@ classes AS (SELECT list_position(vec[1:4], list_max(vec[1:4])) - 1 AS code, coun
 _sql("svm_rbf", """
 SELECT FORM, CASE WHEN r < 0.02 THEN 0 ELSE 1 END AS code
 FROM (SELECT FORM, vec[1] * vec[1] + vec[2] * vec[2] AS r FROM emb) WHERE abs(r - 0.02) > 0.004""", _EMB)
+_sql("svm_exact", ORACLE["svm_rbf"], None)
 _sql("svm_poly", """
 SELECT FORM, CASE WHEN p < 0 THEN 0 ELSE 1 END AS code
 FROM (SELECT FORM, vec[1] * vec[2] * vec[3] AS p FROM emb) WHERE abs(p) > 0.0005""", _EMB)

@@ -9,7 +9,7 @@ from tagloom.functions import tags as tg
 from tagloom.functions.scores import round_half_even
 from tagloom.functions.vectors import as_doubles
 from tagloom.learn import features as ft
-from tagloom.learn import cbow, pairs, skipgram, svm, taggers, word2vec
+from tagloom.learn import cbow, exact, pairs, skipgram, svm, taggers, word2vec
 from tagloom.operators import corpus as co
 from tagloom.operators import joins, leaderboard as lb, ordering as od, scoring as sc, tagset as ts
 from tagloom.plans import testbed as tb
@@ -884,6 +884,14 @@ def svm_rbf(spark, sf):
     return _kernel_run(spark, sf, "rbf")
 
 
+@query
+def svm_exact(spark, sf):
+    """The class that an exact kernel machine gives every vector that is not on the border of its rule."""
+    rows = _rule_rows(spark, sf, "rbf")
+    tagger = exact.train_rows(rows, svm.SvmSettings("exact", kernel="rbf", scale=True, C=1000.0))
+    return tagger.predict(rows.where("clear").select(FORM, "vec")).select(FORM, "code")
+
+
 @query
 def svm_poly(spark, sf):
     return _kernel_run(spark, sf, "poly")
