@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.tags import STTS_DEFAULT
-from tagloom.schemas import REDU, STTS
+from tagloom.schemas import CORP, REDU, STTS
 
 
 def tag_counts(df: DataFrame, *columns) -> DataFrame:
@@ -37,6 +37,21 @@ def missing_tags(df: DataFrame, column=STTS) -> DataFrame:
     return default_tagset(df.sparkSession, column).join(tagset(df, column), column, "left_anti")
 
 
+def tagset_differences(df: DataFrame, columns=(STTS, REDU), by=(CORP,)) -> DataFrame:
+    """Per group and tag column: (tag, side), 'extra' to the default tagset or 'missing' from the group.
+
+    The tokens are read once; what is compared are distinct tags. A group without real tags is not reported.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("tag")) for c in columns])).alias("c")
+    tags = df.select(*by, cells).select(*by, "c.kind", "c.tag").where(~F.col("tag").isin("_", "")).distinct()
+    default = F.array(*[F.lit(t) for t in sorted(STTS_DEFAULT)])
+    # A set of tags per group: tagsets are small whatever the corpus.
+    sets = tags.groupBy(*by, "kind").agg(F.collect_set("tag").alias("own"))
+    sides = {"extra": F.array_except("own", default), "missing": F.array_except(default, "own")}
+    listed = F.concat(*[F.transform(s, lambda t: F.struct(t.alias("tag"), F.lit(n).alias("side"))) for n, s in sides.items()])
+    return sets.select(*by, "kind", F.inline(listed))
+
+
 def reduced_mapping(df: DataFrame, tag=STTS, reduced=REDU) -> DataFrame:
     """Tag -> reduced tag where they differ; of several, the last in sorted order counts."""
     pairs = tag_counts(df, tag, reduced).where(F.col(tag) != F.col(reduced))

@@ -199,6 +199,15 @@ _sql("tags_outside_default", "SELECT DISTINCT RAW_STTS FROM tok EXCEPT SELECT ST
 _sql("default_tags_missing", "SELECT STTS AS RAW_STTS FROM defaults EXCEPT SELECT RAW_STTS FROM tok", _DEFAULTS)
 _sql("reduced_tag_mapping", """
 SELECT STTS, max(REDU) AS REDU FROM gold WHERE CORP = 'B' AND STTS <> REDU GROUP BY 1""", _GOLD)
+_sql("tagset_differences", """
+SELECT CORP, kind, tag, 'extra' AS side FROM kinds WHERE tag NOT IN (SELECT STTS FROM defaults)
+UNION ALL
+SELECT g.CORP, g.kind, d.STTS, 'missing' FROM (SELECT DISTINCT CORP, kind FROM kinds) g, defaults d
+WHERE NOT EXISTS (SELECT 1 FROM kinds k WHERE k.CORP = g.CORP AND k.kind = g.kind AND k.tag = d.STTS)""", _DEFAULTS + """,
+kinds AS (SELECT DISTINCT CORP, 'STTS' AS kind, STTS AS tag FROM gold UNION SELECT DISTINCT CORP, 'REDU', REDU FROM gold)""")
+_sql("reduced_tag_choices", """
+SELECT STTS, max(substr(STTS, 1, CAST(2 + length(FORM) % 3 AS BIGINT))) AS REDU FROM gold
+WHERE STTS <> substr(STTS, 1, CAST(2 + length(FORM) % 3 AS BIGINT)) GROUP BY 1""", _GOLD)
 _sql("annotation_profile", "SELECT CORP, PRED_TAG AS STTS, count(*) AS n FROM pred GROUP BY ALL", _LEX)
 
 # --- sentences, vocabulary, word statistics

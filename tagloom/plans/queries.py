@@ -254,6 +254,19 @@ def reduced_tag_mapping(spark, sf):
     return ts.reduced_mapping(tb.gold(spark, sf, "B"))
 
 
+@query
+def tagset_differences(spark, sf):
+    """Tags beyond and missing from the default tagset, per corpus, of full and of reduced tags."""
+    return ts.tagset_differences(tb.gold(spark, sf))
+
+
+@query
+def reduced_tag_choices(spark, sf):
+    """The reduced tag that counts where one tag has several: the last in order."""
+    several = F.expr(f"substring({STTS}, 1, 2 + length({FORM}) % 3)")
+    return ts.reduced_mapping(tb.gold(spark, sf).withColumn(REDU, several))
+
+
 @query
 def annotation_profile(spark, sf):
     """Tags that a tagger gave out, with their counts."""

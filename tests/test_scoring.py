@@ -119,3 +119,13 @@ def test_positions(spark):
     same = scoring.zipped_or_raise(gold, gold, "STTS", ["k"], ["k"], ["CORP"])
     assert same.where("PRED_TXT = GOLD_TXT and PRED_TAG = GOLD_TAG").count() == 55
     assert scoring.position_report(scoring.zipped(gold.limit(0), gold.limit(0), "STTS", ["k"], ["k"])).first()["n_pred"] == 0
+
+
+def test_tagset_differences(spark):
+    rows = [("A", "NN", "N"), ("A", "NN", "N"), ("A", "QQ", "_"), ("B", "_", ""), ("B", None, None)]
+    df = spark.createDataFrame(rows, "CORP string, STTS string, REDU string")
+    got = {tuple(r) for r in tagset.tagset_differences(df).collect()}
+    assert ("A", "STTS", "QQ", "extra") in got and ("A", "REDU", "N", "extra") in got
+    assert ("A", "STTS", "ART", "missing") in got and ("A", "STTS", "NN", "missing") not in got
+    assert {r[0] for r in got} == {"A"}  # a group without real tags is not reported
+    assert tagset.tagset_differences(df.limit(0)).count() == 0
