@@ -83,6 +83,36 @@ def test_number_rows(rows):
     assert all(r["lo"] == 1 and r["hi"] == r["n"] for r in per)
 
 
+def test_numbering_moves_rows_once(rows):
+    """Behind the range exchange only the summary of the ranges is joined; rows that lie in ranges are not moved at all."""
+    pdf, df = rows
+    plan = ordering.number_rows(df, ["CORP", "D", "POS"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    ranged = df.repartitionByRange(6, "CORP", "D")
+    kept = ordering._sorted_ranges(ranged, ["CORP", "D", "POS"], True)._jdf.queryExecution().executedPlan().toString()
+    assert kept.count("rangepartitioning") <= 2  # AQE prints its plan twice at most
+    got = ordering.number_rows(ranged, ["CORP", "D", "POS"], ranged=True, keep=["POS"]).toPandas().sort_values("ROW_ID")
+    assert got["POS"].tolist() == pdf["POS"].tolist() and got["ROW_ID"].tolist() == list(range(1, 3001))
+    ids = [ordering.sentence_ids(d, ["CORP", "D", "POS"], ranged=r).select("POS", "SENT_ID", "ROW_ID").toPandas().sort_values("POS") for d, r in ((df, False), (ranged, True))]
+    assert (ids[0].to_numpy() == ids[1].to_numpy()).all()
+
+
+def test_short_slices_are_picked_by_partition(rows):
+    """No row but the first of each partition is moved."""
+    _, df = rows
+    for found in (ordering.head(df, ["CORP", "D", "POS"], 5), ordering.preview(df, ["CORP", "D", "POS"], -5)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrderedAndProject" in plan and "ordered-" not in plan
+
+
+def test_long_slices_are_numbered(rows, monkeypatch):
+    pdf, df = rows
+    monkeypatch.setattr(ordering, "PICKED_ROWS", 3)
+    key = ["CORP", "D", "POS"]
+    assert sorted(r["POS"] for r in ordering.head(df, key, 5).collect()) == sorted(pdf["POS"].tolist()[:5])
+    assert [r["POS"] for r in ordering.preview(df, key, -5).collect()] == pdf["POS"].tolist()[-5:]
+
+
 @pytest.mark.parametrize("n", [1, 500, 2999])
 def test_head(rows, n):
     pdf, df = rows
