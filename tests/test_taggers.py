@@ -72,6 +72,18 @@ def test_context_tagger_uses_neighbours(spark):
     assert sorted(map(str, again.tag(features).collect())) == sorted(map(str, model.tag(features).collect()))
 
 
+def test_context_scores_move_rows_once(spark, monkeypatch):
+    """Rows meet all their features' weights in one pass; parts of any size give the same."""
+    rows = [("A", i, ["to", "run", "now", f"w{i % 9}"] if i % 2 else ["the", "run", "ends"]) for i in range(60)]
+    features = taggers.context_features(spark.createDataFrame(rows, "CORP string, SENT_ID long, TOKENS array<string>"))
+    model = taggers.train_context_tagger(features.withColumn("UNIV", F.when(F.col("TOKN_ID") == 2, "VERB").otherwise("NOUN")))
+    whole = model.tag(features)
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+    monkeypatch.setattr(taggers, "PART_ROWS", 7)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, model.tag(features).collect()))
+
+
 def load_again(spark, model):
     path = staged_path(spark, "context-tagger")
     taggers.save_context_tagger(path, model)
