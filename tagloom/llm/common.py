@@ -2,6 +2,7 @@
 
 from functools import wraps
 
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,10 @@ BUCKET_BYTES = 16 << 20
 
 
 def steps(batches, column="text", most=STEP_BYTES):
-    """Cut record batches into runs of rows with at most `most` bytes of text, one row at least."""
+    """Cut record batches into runs of rows with at most `most` bytes of text, one row at least.
+
+    What Arrow keeps of batches that are gone goes back to the system, as workers live on for the next stages.
+    """
     for batch in batches:
         size = 0
         first = 0
@@ -29,6 +33,7 @@ def steps(batches, column="text", most=STEP_BYTES):
             last = [rest]
             del rest
             yield last.pop()
+        pa.default_memory_pool().release_unused()
 
 
 def bucket_count(df: DataFrame, column="text") -> int:

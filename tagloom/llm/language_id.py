@@ -19,6 +19,8 @@ from tagloom.llm.words import text_bytes
 from tagloom.staging import ship_package, stage
 
 SLOTS = 1 << 16
+#: Bytes of text of a step; its trigrams take about 33 times as much.
+STEP_BYTES = 1 << 18
 #: Candidates that need no declared texts.
 LANGUAGES = ("en", "de", "fr", "es")
 UNKNOWN = "und"
@@ -101,7 +103,7 @@ def train(rows: DataFrame, languages=LANGUAGES, per_language=500) -> Model:
 
     def count(batches):
         found = {}
-        for part in steps(batches):
+        for part in steps(batches, most=STEP_BYTES):
             slots, first = trigrams(part.column("text"))
             for i, name in enumerate(part.column("declared").to_pylist()):
                 own = np.bincount(slots[first[i]: first[i + 1]], minlength=SLOTS)
@@ -120,25 +122,30 @@ def train(rows: DataFrame, languages=LANGUAGES, per_language=500) -> Model:
     return Model(tuple(languages), np.log(total / total.sum(axis=1, keepdims=True)).astype(np.float32))
 
 
+def likelihoods(batches, table):
+    """Batches of text_evidence: the columns of `rows` with letters and ll of each text."""
+    for part in steps(batches, most=STEP_BYTES):
+        slots, first = trigrams(part.column("text"))
+        n = np.diff(first)
+        ll = np.zeros((len(n), len(table)))
+        full = np.flatnonzero(n)
+        if len(full):
+            for k, row in enumerate(table):
+                ll[full, k] = np.add.reduceat(row[slots], first[full], dtype=np.float64)
+        values = pa.ListArray.from_arrays(np.arange(0, ll.size + 1, len(table), dtype=np.int32), ll.ravel())
+        yield pa.RecordBatch.from_arrays(
+            [*[part.column(c) for c in ("id", "text_key", "declared", "host", "suffix")], pa.array(n), values],
+            ["id", "text_key", "declared", "host", "suffix", "letters", "ll"],
+        )
+
+
 def text_evidence(rows: DataFrame, model: Model) -> DataFrame:
     """id, text_key, declared, host, suffix, letters and ll, the text's log likelihood in each language."""
     ship_package(rows.sparkSession)
     table = model.table
 
     def run(batches):
-        for part in steps(batches):
-            slots, first = trigrams(part.column("text"))
-            n = np.diff(first)
-            ll = np.zeros((len(n), len(table)))
-            full = np.flatnonzero(n)
-            if len(full):
-                for k, row in enumerate(table):
-                    ll[full, k] = np.add.reduceat(row[slots], first[full], dtype=np.float64)
-            values = pa.ListArray.from_arrays(np.arange(0, ll.size + 1, len(table), dtype=np.int32), ll.ravel())
-            yield pa.RecordBatch.from_arrays(
-                [*[part.column(c) for c in ("id", "text_key", "declared", "host", "suffix")], pa.array(n), values],
-                ["id", "text_key", "declared", "host", "suffix", "letters", "ll"],
-            )
+        yield from likelihoods(batches, table)
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.select("id", F.xxhash64("text").alias("text_key"), "declared", "host", "suffix", "text").mapInArrow(

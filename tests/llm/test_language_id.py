@@ -1,6 +1,7 @@
 """Trigrams, fusion and verdicts of language identification against plain Python."""
 
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -150,3 +151,20 @@ def test_training_sample(spark):
             np.add.at(want[k], brute_slots(texts[name, i]), 1)
     got = li.train(frame, ("en", "de"), 10).table
     assert np.allclose(got, np.log(want / want.sum(axis=1, keepdims=True)), atol=1e-5)
+
+
+def test_a_batch_of_many_texts_takes_the_memory_of_a_step():
+    # 4 MB of text in one batch; the trigrams of all of it would take over 100 MB.
+    texts = ["der die das und " * 512] * 512
+    strings = {c: pa.array([None] * len(texts), pa.string()) for c in ("declared", "host", "suffix")}
+    keys = {c: pa.array(range(len(texts)), pa.int64()) for c in ("id", "text_key")}
+    batch = pa.RecordBatch.from_pydict({**keys, **strings, "text": texts})
+    table = np.log(np.random.default_rng(1).random((3, li.SLOTS), np.float32) + 0.1)
+    tracemalloc.start()
+    try:
+        found = [b.num_rows for b in li.likelihoods([batch], table)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(found) == len(texts) and len(found) > 8
+    assert peak < 24e6
