@@ -101,9 +101,17 @@ def tag_forms(forms: DataFrame, lexicon: DataFrame, default="NN", suffixes=None,
     return met.withColumn(f"PRED_{tag}", F.coalesce("_t", "_s", F.lit(default))).drop("_t", "_s")
 
 
-def tag_tokens(tokens: DataFrame, tagged_forms: DataFrame, spread_by, hot=(), pred=f"PRED_{STTS}"):
-    """Give every token the tag of its form."""
-    return salted_join(tokens, tagged_forms.select(FORM, pred), FORM, list(hot), spread_by)
+def tag_tokens(tokens: DataFrame, tagged_forms: DataFrame, spread_by, hot=(), pred=f"PRED_{STTS}", part=None, parts=0):
+    """Give every token the tag of its form.
+
+    part: the column by which `tokens` lie in `parts` partitions. Tokens then stay where they are: a part asks for its
+    distinct forms, and their tags come to it.
+    """
+    table = tagged_forms.select(FORM, pred)
+    if part is None:
+        return salted_join(tokens, table, FORM, list(hot), spread_by)
+    found = tokens.select(part, FORM).distinct().join(table, FORM).repartition(parts, part)
+    return tokens.join(found.hint("shuffle_hash"), [part, FORM], "left")
 
 
 # --- context tagger -------------------------------------------------------------------------
