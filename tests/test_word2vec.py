@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tagloom.learn import word2vec as wv
+from tagloom.learn import blocks, word2vec as wv
 from tagloom.operators import corpus as co
 
 TEXTS = [["a", "b", "a", "c"], ["b"], ["c", "c", "d", "a", "b", "e", "a"]]
@@ -144,3 +144,19 @@ def test_unknown_choices(topics):
         wv.train(topics, "cb", engine="sgd")
     with pytest.raises(ValueError, match="skip-gram"):
         wv.train(topics, "cb", engine="ml")
+
+
+@pytest.mark.parametrize("transposed", [False, True])
+def test_product_of_blocks_in_steps(spark, monkeypatch, transposed):
+    """Lines of the matrix that lie in several steps, and lines without an entry."""
+    monkeypatch.setattr(blocks, "STEP", 3)
+    cells = [(0, 0, 0, 1, 2.0), (0, 0, 0, 2, 1.0), (0, 2, 0, 0, 4.0), (0, 2, 0, 1, 3.0), (0, 2, 0, 2, 5.0), (0, 2, 1, 0, 7.0), (1, 0, 0, 2, 6.0)]
+    dense = np.zeros((4, 4))
+    for rb, r, cb, c, m in cells:
+        dense[3 * rb + r, 3 * cb + c] = m
+    sizes = spark.createDataFrame([(0, 3), (1, 1)], "block int, n long")
+    matrix = blocks.packed(spark.createDataFrame(cells, "rb int, r int, cb int, c int, m double"), sizes)
+    x = np.random.default_rng(1).standard_normal((4, 2))
+    vectors = spark.createDataFrame([(0, x[:3].tobytes()), (1, x[3:].tobytes())], "block int, data binary")
+    got = {r["block"]: np.frombuffer(r["data"]).reshape(-1, 2) for r in blocks.times(matrix, vectors, 2, transposed).collect()}
+    assert np.allclose(np.vstack([got[0], got[1]]), (dense.T if transposed else dense) @ x)
