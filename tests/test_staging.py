@@ -1,10 +1,13 @@
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tagloom import staging
+from tagloom.learn import blocks, word2vec
 from tagloom.plans import queries
-from tagloom.staging import Generations, discard, stage
+from tagloom.staging import Generations, discard, settle, stage
 
 
 def shuffle_files(spark):
@@ -62,3 +65,51 @@ def test_raw_files_go_after_their_ids_are_staged(spark, tmp_path, monkeypatch):
             spark.read.text(raw).count()
     got = sorted((r["SENT_ID"], r["n"], r["least"]) for r in rows.collect())
     assert got[:4] == [(1, 3, "."), (2, 1, "Three"), (3, 3, ","), (4, 2, "Two")] and len(got) == 4 + 80
+
+
+def test_settled_tables_leave_only_the_result(spark):
+    kept, made = stage(spark.range(3)), []
+    table = settle(spark, lambda: made.append(stage(spark.range(9))) or made[0].where("id > 4"))
+    assert sorted(r[0] for r in table.collect()) == [5, 6, 7, 8] and kept.count() == 3
+    with pytest.raises(Exception, match="[Pp]ath|exist"):
+        spark.read.parquet(made[0].inputFiles()[0]).count()
+
+
+def staged_names(spark):
+    return [p.rsplit("/", 1)[1].split("-")[0] for p in staging._written.get(spark.sparkContext.applicationId, [])]
+
+
+def test_matrices_go_before_the_next_is_made(spark, tmp_path):
+    """Facts of both matrices stay; pairs and marginals do not."""
+    path = str(tmp_path)
+    raw_tables(spark, path)
+    before = staged_names(spark)
+    rows = queries.ppmi_rows(spark, path)
+    assert sorted(staged_names(spark)[len(before):]) == ["rows", "rows"]
+    assert {r["arch"] for r in rows.collect()} == {"sg", "cb"}
+
+
+def test_factorisation_keeps_no_old_step(spark, monkeypatch):
+    """Krylov steps leave their last basis, images and product, whatever their number."""
+    monkeypatch.setattr(blocks, "BLOCK_FORMS", 50)
+    entries = [(a, b, 1.0 + (a * b) % 7) for a in range(120) for b in range(120) if (a + 3 * b) % 5 < 2]
+    placed = spark.createDataFrame([(a // 50, a % 50, b // 50, b % 50, m) for a, b, m in entries], "rb int, r int, cb int, c int, m double")
+    sizes = spark.createDataFrame([(0, 50), (1, 50), (2, 20)], "block int, n long")
+    matrix = stage(blocks.packed(placed, sizes), "matrix")
+    before = len(staged_names(spark))
+    found, residual = blocks.leading(matrix, sizes, 2, tolerance=1e-9, spare=1, most=30)
+    assert residual <= 1e-9 and sorted(staged_names(spark)[before:]) == ["basis", "images", "product"]
+    dense = np.zeros((120, 120))
+    for a, b, m in entries:
+        dense[a, b] = m
+    u, sigma, _ = np.linalg.svd(dense)
+    got = {r["block"]: np.frombuffer(r["data"]).reshape(-1, 2) for r in found.collect()}
+    mine, want = np.vstack([got[k] for k in range(3)]), u[:, :2] * np.sqrt(sigma[:2])
+    assert np.allclose(mine @ mine.T, want @ want.T, atol=1e-6)
+
+
+def test_skipgram_drops_its_pairs(spark):
+    sents = spark.createDataFrame([("A", i, ["a", "b", f"c{i % 9}", "d"]) for i in range(60)], "CORP string, SENT_ID long, TOKENS array<string>")
+    before = len(staged_names(spark))
+    rows = word2vec.train(sents, "sg", word2vec.Settings(dim=3, epochs=1))
+    assert "pairs" not in staged_names(spark)[before:] and rows.count() == 12
